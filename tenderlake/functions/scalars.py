@@ -97,14 +97,19 @@ def is_safe_member(member) -> Column:
     )
 
 
+def strip_ws(x) -> Column:
+    """Remove leading and trailing white space (spaces, tabs, line breaks)."""
+    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+
+
 def procurement_type(x) -> Column:
     """Normalise a type alias; unknown values fall back to public tenders."""
-    v = F.lower(F.trim(_c(x)))
+    v = F.lower(strip_ws(x))
     return F.when(v.isin(*MINOR_CONTRACTS_ALIASES), F.lit(MINOR_CONTRACTS)).otherwise(F.lit(PUBLIC_TENDERS))
 
 
 def is_known_type(x) -> Column:
-    v = F.lower(F.trim(_c(x)))
+    v = F.lower(strip_ws(x))
     return F.coalesce(v.isin(*(MINOR_CONTRACTS_ALIASES + PUBLIC_TENDERS_ALIASES)), F.lit(False))
 
 
