@@ -8,6 +8,14 @@ are kept as they are (no percent-encoding).
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this module run in Python workers: ship them by value so the workers do not
+# need the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

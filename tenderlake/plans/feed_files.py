@@ -11,6 +11,14 @@ pyarrow's file systems (local, HDFS and S3 URIs).
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this module run in Python workers: ship them by value so the workers do not
+# need the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 from collections.abc import Iterator
 
 import pandas as pd
