@@ -288,6 +288,29 @@ def period_overwrite(spark, sf_dir):
     return t.groupBy("period").agg(F.count("*").alias("n_entries"), F.count("id").alias("n_with_id"))
 
 
+def ingest_run(spark, sf_dir):
+    """The whole job: select 1995..199612 among the available periods, discover and scan
+    those folders, parse, project, write (compacted); read back rows per period."""
+    from tenderlake.plans.ingest import IngestOptions, ingest
+
+    out = scratch_path(spark, "table")
+    opts = IngestOptions(input_path=feed_root(spark, sf_dir), output_path=out, procurement_type="pt",
+                         start="1995", end="199612", compact=True)
+    ingest(spark, period_links(spark, sf_dir), opts)
+    return read_entries(spark, out).groupBy("procurement_type", "period").agg(F.count("*").alias("n_entries"))
+
+
+def stream_by_period(spark, sf_dir):
+    """The feed scan as a streaming query (available-now trigger, file sink); rows per period."""
+    from tenderlake.streaming.feed_stream import start_stream
+
+    out, ckpt = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
+    q = start_stream(spark, feed_root(spark, sf_dir), out, ckpt, max_files_per_trigger=200)
+    q.awaitTermination()
+    return read_entries(spark, out).groupBy("period").agg(
+        F.count("*").alias("n_entries"), F.sum(F.size("tender_results")).cast("bigint").alias("n_results"))
+
+
 # ----------------------------------------------------------------------------- metrics
 
 def run_metrics(spark, sf_dir):
@@ -328,6 +351,8 @@ def queries() -> dict:
         "compact_counts": compact_counts,
         "period_overwrite": period_overwrite,
         "run_metrics": run_metrics,
+        "ingest_run": ingest_run,
+        "stream_by_period": stream_by_period,
     }
 
 
@@ -448,6 +473,14 @@ FROM orders LEFT JOIN n ON o_orderkey = l_orderkey GROUP BY 1""",
        count(*) FILTER (WHERE strftime(o_orderdate, '%Y') <> '1995' OR NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P')) AS n_entries,
        count(*) FILTER (WHERE strftime(o_orderdate, '%Y') <> '1995' OR o_orderpriority <> '5-LOW') AS n_with_id
 FROM orders GROUP BY 1""",
+        "ingest_run": """SELECT 'public-tenders' AS procurement_type, strftime(o_orderdate, '%Y%m') AS period, count(*) AS n_entries
+FROM orders WHERE strftime(o_orderdate, '%Y%m') BETWEEN '1995' AND '199612' GROUP BY 2""",
+        "stream_by_period": """WITH flags AS (
+  SELECT l_orderkey, l_returnflag, count(*) AS c FROM lineitem GROUP BY ALL),
+per_order AS (
+  SELECT l_orderkey, sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE c END) AS n_res FROM flags GROUP BY 1)
+SELECT strftime(o_orderdate, '%Y%m') AS period, count(*) AS n_entries, CAST(coalesce(sum(n_res), 0) AS BIGINT) AS n_results
+FROM orders LEFT JOIN per_order ON o_orderkey = l_orderkey GROUP BY 1""",
         "run_metrics": """WITH g AS (
   SELECT lang, count(*) FILTER (WHERE n_chars >= 100) AS processed, count(*) FILTER (WHERE n_chars < 100) AS skipped,
          sum(n_chars) AS total_bytes, sum(floor(n_chars / 50000)) AS seconds,
