@@ -30,7 +30,8 @@ def anchor_hrefs(html: Column) -> Column:
     tags = F.regexp_extract_all(F.regexp_replace(html, _INERT, ""), F.lit(_ANCHOR), 0)
     hrefs = F.transform(tags, lambda t: F.when(
         t.rlike(_HREF),
-        F.concat(F.regexp_extract(t, _HREF, 1), F.regexp_extract(t, _HREF, 2), F.regexp_extract(t, _HREF, 3))))
+        _decode_entities(F.concat(F.regexp_extract(t, _HREF, 1), F.regexp_extract(t, _HREF, 2),
+                                  F.regexp_extract(t, _HREF, 3)))))
     return F.filter(hrefs, lambda h: h.isNotNull())
 
 
