@@ -63,13 +63,18 @@ def concat_values(v: Column) -> Column:
     """Rule C on an array of strings (null elements count as empty occurrences)."""
     joined = F.array_join(v, SEP, "")
     stripped = F.regexp_replace(joined, "^" + SEP + "+", "")
-    return F.when(F.size(v) > 0, F.replace(stripped, F.lit(SEP), F.lit(SEPARATOR)))
+    n = F.size(v)
+    # One occurrence (the usual case) needs no joining.
+    return (F.when(n == 1, F.coalesce(F.try_element_at(v, F.lit(1)), F.lit("")))
+             .when(n > 1, F.replace(stripped, F.lit(SEP), F.lit(SEPARATOR))))
 
 
 def first_non_empty(v: Column) -> Column:
     """Rule F: first non-empty element; ``''`` if only empties exist; null if none."""
+    first = F.try_element_at(v, F.lit(1))
     joined = F.concat(F.lit(SEP), F.array_join(v, SEP, ""))
-    return F.when(F.size(v) > 0, F.regexp_extract(joined, SEP + "([^" + SEP + "]+)", 1))
+    return (F.when(F.coalesce(first, F.lit("")) != F.lit(""), first)
+             .when(F.size(v) > 0, F.regexp_extract(joined, SEP + "([^" + SEP + "]+)", 1)))
 
 
 def last_present(v: Column) -> Column:
@@ -77,7 +82,8 @@ def last_present(v: Column) -> Column:
     joined = F.array_join(v, SEP, NUL)
     only_nulls = joined.rlike("^" + NUL + "(" + SEP + NUL + ")*$")
     last = F.regexp_extract(joined, "(?:^|" + SEP + ")([^" + SEP + NUL + "]*)(?:" + SEP + NUL + ")*$", 1)
-    return F.when((F.size(v) > 0) & ~only_nulls, last)
+    # When the last element is present it is the answer; only otherwise look further back.
+    return F.coalesce(F.try_element_at(v, F.lit(-1)), F.when((F.size(v) > 0) & ~only_nulls, last))
 
 
 def coded(arr: Column) -> tuple[Column, Column]:
