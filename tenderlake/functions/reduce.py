@@ -33,9 +33,11 @@ def field(st: Column, name: str) -> Column:
 def child(arr: Column, name: str) -> Column:
     """Array field ``name`` of every element of an array of structs, concatenated in order.
 
-    Elements where the field is missing contribute nothing.
+    Elements where the field is missing contribute nothing. ``flatten`` alone (code-generated)
+    gives null as soon as one element lacks the field; only then is the lambda path taken.
     """
-    return F.flatten(F.filter(arr[name], lambda a: a.isNotNull()))
+    picked = arr[name]
+    return F.coalesce(F.flatten(picked), F.flatten(F.filter(picked, lambda a: a.isNotNull())))
 
 
 def walk(arr: Column, *path: str) -> Column:
