@@ -94,60 +94,59 @@ def _lot_xml(li) -> Column:
     )
 
 
-def _results_xml(lines: Column) -> Column:
-    """One TenderResult per distinct return flag of the order, flags in ascending order."""
-    flags = F.array_sort(F.array_distinct(F.transform(lines, lambda x: x["flag"])))
-
-    def one(flag: Column) -> Column:
-        mine = F.filter(lines, lambda x: x["flag"] == flag)
-        lot_ids = F.array_join(F.transform(mine, lambda x: F.concat(
-            F.lit("<cbc:ProcurementProjectLotID>"), x["ln"].cast("string"), F.lit("</cbc:ProcurementProjectLotID>"))), "")
-        lot_ids = (F.when(flag == "N", F.lit(""))
-                    .when(flag == "R", F.concat(lot_ids, F.lit("<cbc:ProcurementProjectLotID/>")))
-                    .otherwise(lot_ids))
-        total = F.aggregate(mine, F.lit(0).cast("decimal(25,2)"), lambda acc, x: (acc + x["ext"]).cast("decimal(25,2)"))
-        qty = F.aggregate(mine, F.lit(0).cast("decimal(25,2)"), lambda acc, x: (acc + x["qty"]).cast("decimal(25,2)"))
-        first_ship = F.array_min(F.transform(mine, lambda x: x["ship"]))
-        return wrap(
-            "cac:TenderResult",
-            el("cbc:ResultCode", flag, listURI="https://codes/flag"),
-            el("cbc:Description", F.concat(F.size(mine).cast("string"), F.lit(" lines"))),
-            wrap("cac:WinningParty", wrap("cac:PartyName", el("cbc:Name", F.concat(F.lit("Flag "), flag)))),
-            el("cbc:SMEAwardedIndicator", F.when(flag == "A", "true").otherwise("false")),
-            el("cbc:AwardDate", first_ship),
-            wrap("cac:AwardedTenderedProject", lot_ids, wrap(
-                "cac:LegalMonetaryTotal",
-                el("cbc:TaxExclusiveAmount", total.cast("string"), currencyID="EUR"),
-                el("cbc:PayableAmount", qty.cast("string"), currencyID="EUR"))),
-        )
-
-    return F.array_join(F.transform(flags, one), "")
+def _result_xml(flag: Column, lns: Column, n: Column, total: Column, qty: Column, first_ship: Column) -> Column:
+    """One TenderResult for one return flag of an order (aggregates already computed)."""
+    lot_ids = F.array_join(F.transform(lns, lambda x: F.concat(
+        F.lit("<cbc:ProcurementProjectLotID>"), x.cast("string"), F.lit("</cbc:ProcurementProjectLotID>"))), "")
+    lot_ids = (F.when(flag == "N", F.lit(""))
+                .when(flag == "R", F.concat(lot_ids, F.lit("<cbc:ProcurementProjectLotID/>")))
+                .otherwise(lot_ids))
+    return wrap(
+        "cac:TenderResult",
+        el("cbc:ResultCode", flag, listURI="https://codes/flag"),
+        el("cbc:Description", F.concat(n.cast("string"), F.lit(" lines"))),
+        wrap("cac:WinningParty", wrap("cac:PartyName", el("cbc:Name", F.concat(F.lit("Flag "), flag)))),
+        el("cbc:SMEAwardedIndicator", F.when(flag == "A", "true").otherwise("false")),
+        el("cbc:AwardDate", first_ship),
+        wrap("cac:AwardedTenderedProject", lot_ids, wrap(
+            "cac:LegalMonetaryTotal",
+            el("cbc:TaxExclusiveAmount", total.cast("string"), currencyID="EUR"),
+            el("cbc:PayableAmount", qty.cast("string"), currencyID="EUR"))),
+    )
 
 
 def lineitem_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: lot XML (by line number), result XML, latest ship day. One shuffle on l_orderkey."""
+    """Per order: lot XML (line order), result XML (one per return flag), last ship day, total.
+
+    lineitem is hash-partitioned by order key once; the per-order and per-(order, flag)
+    aggregations and their join all reuse that partitioning (one shuffle of lineitem).
+    """
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
-        "l_returnflag", "l_linestatus", "l_shipdate")
-    rows = li.select(
-        "l_orderkey",
-        F.struct(
-            F.col("l_linenumber").alias("ln"),
-            F.col("l_returnflag").alias("flag"),
-            day(F.col("l_shipdate")).alias("ship"),
-            F.col("l_extendedprice").cast("decimal(15,2)").alias("ext"),
-            F.col("l_quantity").cast("decimal(15,2)").alias("qty"),
-            _lot_xml(li).alias("xml"),
-        ).alias("line"),
-    )
-    grouped = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
-    return grouped.select(
-        "l_orderkey",
-        F.array_join(F.transform("lines", lambda x: x["xml"]), "").alias("lots_xml"),
-        _results_xml(F.col("lines")).alias("results_xml"),
-        F.array_max(F.transform("lines", lambda x: x["ship"])).alias("last_ship"),
-        F.aggregate("lines", F.lit(0).cast("decimal(25,2)"), lambda acc, x: (acc + x["ext"]).cast("decimal(25,2)")).alias("lines_total"),
+        "l_returnflag", "l_linestatus", "l_shipdate").repartition("l_orderkey")
+    li = li.select(
+        "*",
+        day(F.col("l_shipdate")).alias("ship"),
+        F.col("l_extendedprice").cast("decimal(15,2)").alias("ext"),
+        F.col("l_quantity").cast("decimal(15,2)").alias("qty"),
     )
+    line = F.struct(F.col("l_linenumber").alias("ln"), F.col("l_returnflag").alias("flag"), "ship", "ext", "qty",
+                    _lot_xml(li).alias("xml"))
+    lots = li.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(line)).alias("lines"),
+        F.max("ship").alias("last_ship"),
+        F.sum("ext").alias("lines_total"),
+    ).select("l_orderkey", F.array_join(F.transform("lines", lambda x: x["xml"]), "").alias("lots_xml"),
+             "last_ship", "lines_total")
+    per_flag = li.groupBy("l_orderkey", "l_returnflag").agg(
+        F.count("*").alias("n"), F.sum("ext").alias("total"), F.sum("qty").alias("qty_total"),
+        F.min("ship").alias("first_ship"), F.array_sort(F.collect_list("l_linenumber")).alias("lns"))
+    per_flag = per_flag.select("l_orderkey", F.struct(F.col("l_returnflag").alias("flag"), _result_xml(
+        F.col("l_returnflag"), F.col("lns"), F.col("n"), F.col("total"), F.col("qty_total"),
+        F.col("first_ship")).alias("xml")).alias("r"))
+    results = per_flag.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("r")).alias("rs")).select(
+        "l_orderkey", F.array_join(F.transform("rs", lambda x: x["xml"]), "").alias("results_xml"))
+    return lots.join(results, "l_orderkey")
 
 
 def feed_entries(spark: SparkSession, sf_dir: str, omit_atom: bool = False) -> DataFrame:
