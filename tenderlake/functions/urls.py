@@ -1,6 +1,8 @@
 """Relative -> absolute URL (H2), the one scalar with no built-in Spark equivalent.
 
-An Arrow-batched pandas UDF around the standard library's RFC 3986 resolution: dot
+Absolute ``scheme://`` URLs, root-relative paths and plain relative paths without dot
+segments are resolved with SQL string functions; every other form goes to an
+Arrow-batched pandas UDF around the standard library's RFC 3986 resolution: dot
 segments are removed, the base query/fragment do not carry over. Surrounding white space
 of the href is dropped; an href that cannot be resolved gives null. Non-ASCII characters
 are kept as they are (no percent-encoding).
@@ -17,6 +19,7 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,5 +41,29 @@ def _join(base: str | None, href: str | None) -> str | None:
 
 
 @F.pandas_udf(T.StringType())
-def resolve_url(base: pd.Series, href: pd.Series) -> pd.Series:
+def _resolve_py(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([_join(b, h) for b, h in zip(base, href)], dtype=object)
+
+
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+# hrefs the SQL path resolves exactly like RFC 3986 resolution does: no dot segments, no
+# white space, backslash or ";" params, not scheme-relative, not only a query/fragment, no
+# empty query/fragment marker, not empty, and either a full lower-case "scheme://" URL or
+# free of any scheme prefix.
+_NEEDS_PYTHON = r"(^|/)\.\.?(/|$)|[\s\\;]|^//|^[?#]|^$|[?#]$|\?#"
+
+
+def resolve_url(base: Column, href: Column) -> Column:
+    """Resolve ``href`` against ``base``; common forms in SQL, the rest in the pandas UDF."""
+    origin = F.regexp_extract(base, r"^((?:https?|HTTPS?)://[^/?#]+)", 1)
+    path = F.regexp_extract(base, r"^(?:https?|HTTPS?)://[^/?#]+([^?#]*)", 1)
+    directory = F.regexp_extract(path, r"^(.*/)", 1)
+    directory = F.when(directory == F.lit(""), F.lit("/")).otherwise(directory)
+    full = href.rlike(r"^[a-z][a-z0-9+.-]*://")
+    schemed = href.rlike(_SCHEME)
+    fast = (origin != F.lit("")) & ~href.rlike(_NEEDS_PYTHON) & (full | ~schemed)
+    in_sql = (F.when(full, href)
+               .when(href.startswith("/"), F.concat(origin, href))
+               .otherwise(F.concat(origin, directory, href)))
+    slow = _resolve_py(F.when(~fast, base), F.when(~fast, href))
+    return F.when(fast, in_sql).otherwise(slow)
