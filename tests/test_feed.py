@@ -116,3 +116,13 @@ def test_empty_table_schema(spark):
     assert empty_entries(spark).count() == 0
     assert empty_entries(spark).schema == ENTRY_SCHEMA
     assert empty_entries(spark, True).schema == ENTRY_SCHEMA_RAW
+
+
+def test_atom_fields_with_attributes_and_blanks(spark):
+    f = feed('<entry><id>https://h/1</id><title type="text">T &amp; U</title>'
+             '<summary type="text">Importe: 10 EUR</summary><updated>2024-01-01T10:00:00.000+01:00</updated>'
+             '<link href="https://h/x?a=1&amp;b=2" rel="alternate"/></entry>'
+             '<entry><id> https://h/2/ </id><title>  </title><summary></summary></entry>')
+    rows = sorted(entries_of(spark, f).collect(), key=lambda r: r.id)
+    assert [(r.id, r.title, r.summary, r.link) for r in rows] == [
+        ("1", "T & U", "Importe: 10 EUR", "https://h/x?a=1&b=2"), ("2", None, None, None)]
