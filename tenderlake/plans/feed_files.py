@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tenderlake.plans.fixtures import feed_entries
 from tenderlake.session import ensure_checkpoint_dir, scratch_path
+from tenderlake.sources.fsio import fs_and_path
 
 FEED_HEAD = ('<?xml version="1.0" encoding="UTF-8"?>\n'
              '<feed xmlns="http://www.w3.org/2005/Atom" '
@@ -37,18 +38,6 @@ FEED_TAIL = "</feed>\n"
 _MEMO: dict[tuple, str] = {}
 
 
-def _fs_and_path(uri: str):
-    import pyarrow.fs as pafs
-
-    if uri.startswith("file:"):
-        from urllib.parse import urlparse
-
-        return pafs.LocalFileSystem(), urlparse(uri).path
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
-
-
 def _writer(root: str, archive: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
@@ -57,7 +46,7 @@ def _writer(root: str, archive: bool):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        fs, base = _fs_and_path(root)
+        fs, base = fs_and_path(root)
         parts: dict[str, list[str]] = {}
         for pdf in batches:
             for period, texts in pdf.groupby("period")["entry_xml"]:
