@@ -48,3 +48,10 @@ def summarize(items: DataFrame, group: str, bytes_col: str = "bytes", seconds_co
         "n_errors",
         F.when(F.col("n_errors") > 0, F.col("errors")).alias("errors"),
     )
+
+
+def directory_size(spark, path: str) -> DataFrame:
+    """``(files, bytes)`` of everything below ``path``, any depth, from file metadata only."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .load(path).select("length"))
+    return listing.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))

@@ -236,8 +236,7 @@ def _entries_from_root(spark, root, strict=False):
 def discovery_by_period(spark, sf_dir):
     """S1 + A6: feed files found per period, and the entries read from them (S2 text scan)."""
     root = feed_root(spark, sf_dir)
-    files = list_feed_files(spark, root)
-    per = files.groupBy("period").agg(F.count("*").alias("n_files"))
+    per = MT.files_by_period(list_feed_files(spark, root))
     n = read_entry_texts(spark, root).groupBy("period").agg(F.count("*").alias("n_entries"))
     return per.join(n, "period", "full").select("period", (F.col("n_files") > 0).alias("has_files"), "n_entries")
 

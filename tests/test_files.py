@@ -82,3 +82,15 @@ def test_sink_overwrite_and_compaction(spark, tmp_root):
     assert [r.title for r in t.where("period = '202302'").collect()] == ["new"]
     assert dict(t.schema.fields[-1].jsonValue()).get("type") == "string"
     assert table_files(spark, out).where("period = '202302'").count() == 1
+
+
+def test_directory_size(spark, tmp_root):
+    from tenderlake.operators.metrics import directory_size
+
+    os.makedirs(f"{tmp_root}/dir/nested", exist_ok=True)
+    with open(f"{tmp_root}/dir/file1.txt", "wb") as fh:
+        fh.write(b"\0" * 10)
+    with open(f"{tmp_root}/dir/nested/file2.txt", "wb") as fh:
+        fh.write(b"\0" * 20)
+    r = directory_size(spark, f"{tmp_root}/dir").first()
+    assert (r.files, r.bytes) == (2, 30)
