@@ -37,11 +37,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
-def apply_required_conf(spark: SparkSession) -> None:
-    for k, v in REQUIRED_CONF.items():
-        spark.conf.set(k, v)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

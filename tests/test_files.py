@@ -94,3 +94,24 @@ def test_directory_size(spark, tmp_root):
         fh.write(b"\0" * 20)
     r = directory_size(spark, f"{tmp_root}/dir").first()
     assert (r.files, r.bytes) == (2, 30)
+
+
+def test_compaction_splits_a_hot_period(spark, tmp_root):
+    """A period with most of the rows is spread over several files, nothing is lost."""
+    n = 20000
+    text = F.concat(*[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(k))), 256) for k in range(3)])
+    df = spark.range(n).select(
+        F.col("id").cast("string").alias("id"), text.alias("title"),
+        F.when(F.col("id") % 10 == 0, F.lit("202301")).otherwise(F.lit("202302")).alias("period"),
+        F.lit("public-tenders").alias("procurement_type"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        out = f"{tmp_root}/hot"
+        write_entries(df, out, compact=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = dict(table_files(spark, out).groupBy("period").count().collect())
+    assert files["202302"] > 1
+    back = spark.read.parquet(out)
+    assert back.count() == n and back.where("period = '202302'").count() == n - n // 10
