@@ -151,7 +151,8 @@ TENDERING_PROCESS = _st(
     ("UrgencyCode", _arr(CODE)),
     ("TenderSubmissionDeadlinePeriod", _arr(_st(("EndDate", _arr(S))))),
 )
-CONTRACT_FOLDER = _st(
+# Members of the contract block, in document order of the schema.
+CONTRACT_FOLDER_MEMBERS = [
     ("ContractFolderID", _arr(S)),
     ("ContractFolderStatusCode", _arr(CODE)),
     ("LocatedContractingParty", _arr(CONTRACTING_PARTY)),
@@ -160,14 +161,43 @@ CONTRACT_FOLDER = _st(
     ("TenderResult", _arr(TENDER_RESULT)),
     ("TenderingTerms", _arr(TENDERING_TERMS)),
     ("TenderingProcess", _arr(TENDERING_PROCESS)),
-)
+]
+CONTRACT_FOLDER = _st(*CONTRACT_FOLDER_MEMBERS)
 
 # Atom fields are scalar: a repeated scalar keeps the last occurrence (rule "last wins").
-RAW_ENTRY_DDL = ", ".join([
-    "id STRING", "title STRING", "summary STRING", "updated STRING",
-    "link " + _arr(_st(("_href", S))),
-    "ContractFolderStatus " + _arr(CONTRACT_FOLDER),
-])
+ATOM_FIELDS = [("id", S), ("title", S), ("summary", S), ("updated", S), ("link", _arr(_st(("_href", S))))]
+
+# Output column -> contract block members it is computed from.
+BLOCK_MEMBERS_FOR = {
+    "status": {"ContractFolderStatusCode"},
+    "contract_id": {"ContractFolderID"},
+    "contracting_party": {"LocatedContractingParty"},
+    "project": {"ProcurementProject"},
+    "project_lots": {"ProcurementProjectLot"},
+    "tender_results": {"TenderResult"},
+    "terms_funding_program": {"TenderingTerms"},
+    "process": {"TenderingProcess"},
+}
+
+
+def block_members_for(columns) -> set[str] | None:
+    """Block members needed for the given output columns; None (= all) when not given."""
+    if columns is None:
+        return None
+    need: set[str] = set()
+    for c in columns:
+        need |= BLOCK_MEMBERS_FOR.get(c, set())
+    return need
+
+
+def raw_entry_ddl(members: set[str] | None = None) -> str:
+    """RAW read schema; with ``members`` only those block members are parsed."""
+    kept = [m for m in CONTRACT_FOLDER_MEMBERS if members is None or m[0] in members]
+    kept = kept or CONTRACT_FOLDER_MEMBERS[:1]
+    return ", ".join([f"{n} {t}" for n, t in ATOM_FIELDS] + ["ContractFolderStatus " + _arr(_st(*kept))])
+
+
+RAW_ENTRY_DDL = raw_entry_ddl()
 
 # Options shared by every XML parse (from_xml, the XML source, streaming).
 XML_OPTIONS = {

@@ -11,7 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.schema import RAW_ENTRY_DDL, XML_OPTIONS
+from tenderlake.schema import (
+    ATOM_FIELDS,
+    CONTRACT_FOLDER_MEMBERS,
+    RAW_ENTRY_DDL,
+    XML_OPTIONS,
+    block_members_for,
+    raw_entry_ddl,
+)
 
 # Fixed value: feed files are *.xml / *.atom in any letter case.
 FEED_GLOB = "*.{[xX][mM][lL],[aA][tT][oO][mM]}"
@@ -24,9 +31,23 @@ def xml_options(mode: str = "FAILFAST") -> dict[str, str]:
     return {**XML_OPTIONS, "mode": mode}
 
 
-def parse_entry_text(text: Column, mode: str = "FAILFAST") -> Column:
+def parse_entry_text(text: Column, mode: str = "FAILFAST", ddl: str = RAW_ENTRY_DDL) -> Column:
     """``from_xml`` of one ``<entry>`` text into the RAW struct."""
-    return F.from_xml(text, RAW_ENTRY_DDL, xml_options(mode))
+    return F.from_xml(text, ddl, xml_options(mode))
+
+
+def _widen(e: Column, members: set[str]) -> Column:
+    """A struct parsed with some block members only, given the full RAW type (others null).
+
+    Building the nested struct is most of the parse cost, so members no output needs are
+    not parsed at all; this cheap re-typing keeps the projection code unchanged.
+    """
+    def block(c: Column) -> Column:
+        return F.struct(*[(c[n] if n in members else F.lit(None).cast(t)).alias(n)
+                          for n, t in CONTRACT_FOLDER_MEMBERS])
+
+    atoms = [e[n].alias(n) for n, _ in ATOM_FIELDS]
+    return F.struct(*atoms, F.transform(e["ContractFolderStatus"], block).alias("ContractFolderStatus"))
 
 
 def raw_block(text: Column) -> Column:
@@ -105,13 +126,21 @@ def read_entries_strict(spark: SparkSession, root: str, paths: list[str] | None
 
 
 def parse_entries(texts: DataFrame, text_col: str = "entry_xml", mode: str = "FAILFAST",
-                  keep_raw_xml: bool = False) -> DataFrame:
-    """Add the parsed RAW struct ``e`` (and ``raw_block`` when asked) to a frame of entry texts."""
+                  keep_raw_xml: bool = False, columns=None) -> DataFrame:
+    """Add the parsed RAW struct ``e`` (and ``raw_block`` when asked) to a frame of entry texts.
+
+    ``columns`` (output column names) limits the parse to the contract-block members those
+    columns are computed from; by default everything is parsed.
+    """
+    members = block_members_for(columns)
+    ddl = RAW_ENTRY_DDL if members is None else raw_entry_ddl(members)
     # The parse is produced by a generator so that the optimizer cannot inline the
     # (expensive) from_xml call into every later use of ``e`` or into pushed-down filters:
     # each entry is parsed exactly once.
     cols = [F.col(c) for c in texts.columns]
-    out = texts.select(*cols, F.explode(F.array(parse_entry_text(F.col(text_col), mode))).alias("e"))
+    out = texts.select(*cols, F.explode(F.array(parse_entry_text(F.col(text_col), mode, ddl))).alias("e"))
+    if members is not None:
+        out = out.withColumn("e", _widen(F.col("e"), members))
     if keep_raw_xml:
         out = out.withColumn("raw_block", raw_block(F.col(text_col)))
     return out

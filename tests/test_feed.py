@@ -126,3 +126,17 @@ def test_atom_fields_with_attributes_and_blanks(spark):
     rows = sorted(entries_of(spark, f).collect(), key=lambda r: r.id)
     assert [(r.id, r.title, r.summary, r.link) for r in rows] == [
         ("1", "T & U", "Importe: 10 EUR", "https://h/x?a=1&b=2"), ("2", None, None, None)]
+
+
+def test_pruned_parse_matches_full_parse(spark):
+    from tenderlake.operators.entries import to_entries
+    from tenderlake.schema import BLOCK_MEMBERS_FOR
+    from tenderlake.sources.xml_feed import parse_entries, split_entries
+
+    recs = spark.createDataFrame([(p,) for p in feed(BLOCK, "<entry><id>z</id></entry>").split("</entry>")],
+                                 "value string")
+    texts = split_entries(recs)
+    full = {r.id: r.asDict(recursive=True) for r in to_entries(parse_entries(texts)).collect()}
+    for col in BLOCK_MEMBERS_FOR:
+        part = to_entries(parse_entries(texts, columns=["id", col])).select("id", col).collect()
+        assert {r.id: r[col] for r in [x.asDict(recursive=True) for x in part]} == {k: v[col] for k, v in full.items()}
