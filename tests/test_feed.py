@@ -139,4 +139,5 @@ def test_pruned_parse_matches_full_parse(spark):
     full = {r.id: r.asDict(recursive=True) for r in to_entries(parse_entries(texts)).collect()}
     for col in BLOCK_MEMBERS_FOR:
         part = to_entries(parse_entries(texts, columns=["id", col])).select("id", col).collect()
-        assert {r.id: r[col] for r in [x.asDict(recursive=True) for x in part]} == {k: v[col] for k, v in full.items()}
+        got = {d["id"]: d[col] for d in (x.asDict(recursive=True) for x in part)}
+        assert got == {k: v[col] for k, v in full.items()}, col
