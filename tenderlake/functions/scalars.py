@@ -130,8 +130,8 @@ def mb_from_bytes(b) -> Column:
 
 
 def round_two(x) -> Column:
-    """Round to 2 decimals, half away from zero."""
-    return F.round(_c(x), 2)
+    """Round to 2 decimals, half away from zero, as ``round(x * 100) / 100``."""
+    return F.round(_c(x) * F.lit(100.0)) / F.lit(100.0)
 
 
 def throughput(mb, seconds) -> Column:

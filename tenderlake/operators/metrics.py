@@ -11,14 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderlake.functions.scalars import format_duration, mb_from_bytes, throughput
+from tenderlake.functions.scalars import format_duration, mb_from_bytes, round_two, throughput
 
 ERROR_SEPARATOR = "; "
 
 
-def round2(x: Column) -> Column:
-    """Two decimals, half away from zero, as ``round(x * 100) / 100``."""
-    return F.round(x * F.lit(100.0)) / F.lit(100.0)
+round2 = round_two
 
 
 def files_by_period(files: DataFrame) -> DataFrame:
