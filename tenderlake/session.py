@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -43,8 +44,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system folder and is only read. Only
-    where it is unset (local tests) a folder under the system temp dir is created and set.
+    On a cluster this setting names a shared file system folder and is only read. Where it is
+    unset, a local session gets a folder under the system temp dir; any other master raises,
+    since each executor would write to a disk of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", sc.master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {sc.master}")
         conf_dir = tempfile.mkdtemp(prefix="tenderlake-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
