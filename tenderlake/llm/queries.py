@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import langid, quality, shards
+from tenderlake.llm import decontaminate, langid, quality, rules, shards, simhash
 from tenderlake.llm.common import fold, table
 
 
@@ -13,6 +13,12 @@ def _held_out(folds: int, held: int):
     return F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False))
 
 
+def op1_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SimHash fingerprint and near-duplicate component (at most 2 differing bits a link)."""
+    out = simhash.near_duplicates(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op2_karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of 40 and slot, by differencing of groups of equal texts."""
     out = shards.shard(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
@@ -36,8 +42,20 @@ def op4_quadratic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op5_weak_supervision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base counts and the verdict of the weakly supervised rules."""
+    out = rules.judged(spark, table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+def op6_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it leaks: hits, equal words and where the item would start."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality)}
+    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks)}
 
 
 def oracles() -> dict[str, str]:
