@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import decontaminate, langid, quality, rules, shards, simhash
+from tenderlake.llm import bpe, decontaminate, langid, quality, rules, shards, simhash
 from tenderlake.llm.common import fold, table
 
 
+def default_ranks() -> str:
+    """The public vocabulary that the queries use; installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def _held_out(folds: int, held: int):
     return F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False))
 
@@ -54,8 +61,21 @@ def op6_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op7_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of token ids, and digests of the ids and of the text decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = default_ranks()
+    ids = docs.select("doc_id", bpe.token_ids(spark, docs, ranks).alias("ids"))
+    return ids.select("doc_id", "ids", bpe.decoded(F.col("ids"), ranks).alias("decoded")).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks)}
+    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks, op7_chunk_reuse_bpe)}
 
 
 def oracles() -> dict[str, str]:
