@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import bpe, decontaminate, langid, quality, rules, shards, simhash
+from tenderlake.llm import bpe, decontaminate, langid, quality, rules, shards, simhash, toxicity
 from tenderlake.llm.common import fold, table
 
 
@@ -74,8 +74,18 @@ def op7_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score from misspelling-tolerant lexicon matches in context."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = quality.train_labels(table(spark, sf_dir, "labels"), "toxic", toxicity.FOLDS, toxicity.HELD_OUT)
+    model = toxicity.fit(docs, labels)
+    return docs.select(
+        "doc_id", _held_out(toxicity.FOLDS, toxicity.HELD_OUT).alias("held_out"), toxicity.score(F.col("text"), model).alias("score")
+    ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks, op7_chunk_reuse_bpe)}
+    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks, op7_chunk_reuse_bpe, op9_levenshtein_toxicity)}
 
 
 def oracles() -> dict[str, str]:
