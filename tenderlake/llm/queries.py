@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import bpe, decontaminate, langid, quality, rules, shards, simhash, toxicity
+from tenderlake.llm import bpe, decontaminate, langid, pii, quality, rules, shards, simhash, toxicity
 from tenderlake.llm.common import fold, table
 
 
@@ -74,6 +74,19 @@ def op7_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: counts and digest of the fixed patterns' spans, and all spans."""
+    found = pii.find(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[_kind_count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def _kind_count(k: int):
+    return F.size(F.filter("base", lambda x: x["k"] == k)).cast("long")
+
+
 def op9_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity score from misspelling-tolerant lexicon matches in context."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -85,7 +98,7 @@ def op9_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks, op7_chunk_reuse_bpe, op9_levenshtein_toxicity)}
+    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks, op7_chunk_reuse_bpe, op8_bootstrapped_pii, op9_levenshtein_toxicity)}
 
 
 def oracles() -> dict[str, str]:

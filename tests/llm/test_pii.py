@@ -1,0 +1,103 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from tenderlake.llm import pii
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def brute(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            ok = {
+                "email": lambda: True,
+                "ip": lambda: all(int(x) <= 255 for x in m.group().split(".")),
+                "card": lambda: 13 <= len(digits) <= 19 and luhn(digits),
+                "phone": lambda: 9 <= len(digits) <= 15,
+            }[kind]()
+            if ok:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def listed(spans):
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+
+
+def texts():
+    rnd = random.Random(2)
+    bits = ["a@b.c", "x_y@d.e_f@g.h", "@", ".", "1.2.3.4", "256.1.1.1", "001.002.3.255", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112",
+            "+1 (555) 123-4567", "+", "5", "12", " ", "é", "🙂", "-", "\n", "\x01", "4", "0", "(", "word "]
+    fixed = [None, "", "@", "+1 2 3 4 5 6 7 8 9 0 - ", "9" * 5000, "a" * 5000 + "@", "x@" + "a." * 3000 + "b", "1." * 3000, "+1" + " " * 3000 + "234567890",
+             "a@b.c" * 700, "4111111111111111 " * 1200]
+    return fixed + ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 60))) for _ in range(300)]
+
+
+def test_base_spans_equal_brute_force(spark):
+    rows = list(enumerate(texts()))
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r.doc_id: r for r in pii.find(spark, docs).selectExpr("doc_id", "base").collect()}
+    for i, text in rows:
+        assert [(pii.KINDS[x.k], x.s, x.e) for x in got[i].base] == brute(text), text
+
+
+@pytest.fixture(scope="module")
+def clinic():
+    rnd = random.Random(4)
+    phone = lambda: f"+1 ({rnd.randint(100, 999)}) 555-{rnd.randint(1000, 9999)}"
+    rows = [f"Our hotline: {phone()} is open." for _ in range(14)]
+    rows += [f"Our hotline: ({rnd.randint(100, 999)}) 555-{rnd.randint(1000, 9999)} is open." for _ in range(2)]
+    rows += [f"The year {rnd.randint(10000, 99999)} passed, hotline none." for _ in range(5)]
+    return rows
+
+
+def test_patterns_find_unseen_identifiers(spark, clinic):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(clinic)], "doc_id int, text string, base string")
+    got = {r.doc_id: r for r in pii.find(spark, docs).collect()}
+    assert all(len(got[i].base) == len(got[i].spans) == 1 for i in range(14))
+    for i in (14, 15):
+        assert not got[i].base and [pii.KINDS[x.k] for x in got[i].spans] == ["phone"]
+        assert clinic[i][got[i].spans[0].s : got[i].spans[0].e] == clinic[i][13:27]
+    assert not any(got[i].spans for i in range(16, 21))
+    masked = {r.doc_id: r for r in pii.mask(spark, docs).collect()}
+    assert {masked[i].text for i in range(16)} == {"Our hotline: [PHONE] is open."} and masked[18].text == clinic[18]
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, 4), (None, "me a@b.co, x 1.2.3.4", 9), (1, "me a@b.co, x 1.2.3.4", 9), (2, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, n_chars int")
+    got = sorted((r.doc_id or 0, r.text or "", r.n_chars) for r in pii.mask(spark, docs).collect())
+    assert got == [(0, "me [EMAIL], x [IP]", 18), (1, "", 4), (1, "me [EMAIL], x [IP]", 18), (2, "", 0)]
+    assert pii.mask(spark, docs.limit(0)).count() == 0 == pii.find(spark, docs.limit(0)).count()
+
+
+def test_query(spark):
+    from tenderlake.llm.queries import queries
+
+    query = next(f for n, f in queries().items() if n.startswith("op8_"))
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = query(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        want = brute(docs[r.doc_id])
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(x[0] == k for x in want) for k in pii.KINDS]
+        assert r.base_sha256 == hashlib.sha256(listed(want).encode()).hexdigest()
+        assert set(listed(want).split(",")) <= set(r.spans.split(","))
