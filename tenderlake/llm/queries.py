@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import bpe, decontaminate, langid, pii, quality, rules, shards, simhash, toxicity
+from tenderlake.llm import bpe, decontaminate, langid, pii, quality, rules, shards, simhash, substrings, toxicity
 from tenderlake.llm.common import fold, table
 
 
@@ -97,8 +97,15 @@ def op9_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op10_de_bruijn_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, those in 35-word passages that occur twice or more, and the digest of the rest."""
+    out = substrings.remove_repeats(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return out.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks, op7_chunk_reuse_bpe, op8_bootstrapped_pii, op9_levenshtein_toxicity)}
+    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks, op7_chunk_reuse_bpe, op8_bootstrapped_pii, op9_levenshtein_toxicity, op10_de_bruijn_substrings)}
 
 
 def oracles() -> dict[str, str]:
