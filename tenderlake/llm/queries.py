@@ -108,5 +108,46 @@ def queries() -> dict:
     return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks, op7_chunk_reuse_bpe, op8_bootstrapped_pii, op9_levenshtein_toxicity, op10_de_bruijn_substrings)}
 
 
+def _leaks_sql() -> str:
+    """The seeds as the masked words themselves, joined and checked as the operator does."""
+    def seeded(name: str, row: str) -> str:
+        parts = []
+        for k, mask in enumerate(decontaminate.MASKS):
+            key = " || ' ' || ".join(f"w[i + {j + 1}]" for j, c in enumerate(mask) if c == "1")
+            parts.append(f"SELECT {row}, w, i AS at, {len(mask)} AS span, '{k} ' || {key} AS seed FROM {name}, unnest(range(0, greatest(0, len(w) - {len(mask) - 1}))) u(i)")
+        return " UNION ALL ".join(parts)
+
+    words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w"
+    same = "CASE WHEN item_w[j + 1] = doc_w[j + lag + 1] THEN 1 ELSE 0 END"
+    return f"""
+    WITH d AS (SELECT doc_id, {words} FROM documents), b AS (SELECT item_id, {words} FROM benchmark),
+    ds AS ({seeded("d", "doc_id")}), bs AS ({seeded("b", "item_id")}),
+    h AS (SELECT doc_id, item_id, ds.w AS doc_w, bs.w AS item_w, bs.at AS item_at, ds.at - bs.at AS lag, ds.span AS span,
+                 least({decontaminate.OVERLAP}, len(bs.w)) AS n
+          FROM ds JOIN bs USING (seed)),
+    c AS (SELECT *, greatest(0, -lag, item_at + span - n) AS low, least(item_at, len(item_w) - n, len(doc_w) - lag - n) AS high,
+                 ceil(n * {decontaminate.SIMILAR} - 1e-9) AS need FROM h),
+    g AS (SELECT doc_id, item_id, lag, len(item_w) AS m,
+                 list_sum(list_transform(range(0, len(item_w)), lambda j: CASE WHEN j + lag >= 0 THEN {same} ELSE 0 END)) AS equal
+          FROM c WHERE low <= high AND len(list_filter(range(low, high + 1), lambda s: list_sum(list_transform(range(s, s + n), lambda j: {same})) >= need)) > 0)
+    SELECT doc_id, item_id, count(*) AS hits, CAST(max(equal) AS INTEGER) AS equal_words, CAST(max(m) AS INTEGER) AS item_words,
+           CAST(min(lag) AS INTEGER) AS start_word
+    FROM g GROUP BY doc_id, item_id"""
+
+
+def _substrings_sql(window: int = substrings.WINDOW) -> str:
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                      list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    win AS (SELECT r, i, array_to_string(w[i : i + {window - 1}], ' ') AS s FROM d, unnest(range(1, greatest(1, len(w) - {window - 2}))) u(i)),
+    twice AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+    gone AS (SELECT DISTINCT r, i + j AS p FROM win JOIN twice USING (s), range({window}) t(j)),
+    words AS (SELECT r, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) u(p)),
+    kept AS (SELECT r, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY words.p) FILTER (WHERE gone.p IS NULL) AS text
+             FROM words LEFT JOIN gone USING (r, p) GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (r)"""
+
+
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op6_spaced_seed_leaks": _leaks_sql(), "op10_de_bruijn_substrings": _substrings_sql()}

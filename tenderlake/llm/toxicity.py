@@ -219,11 +219,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pd.DataFrame({"label": batch["label"], "x": [evidence(t, lexicon, cache).tolist() for t in batch["text"]]})
 
     got = rows.where(~first).select("label", "text").mapInPandas(seen, "label int, x array<double>").collect()
-    x = np.array([r["x"] for r in got]).reshape(len(got), -1)
     y = np.array([r["label"] for r in got], dtype=float)
     if not y.sum():
-        d = len(evidence("", lexicon, {}))
-        return Model(lexicon, np.append(np.zeros(d), -500.0))
+        return Model(lexicon, np.append(np.zeros(len(evidence("", lexicon, {}))), -500.0))
+    x = np.array([r["x"] for r in got])
     return Model(lexicon, logistic(x, y))
 
 
