@@ -88,6 +88,13 @@ def last_present(v: Column) -> Column:
     return F.coalesce(F.try_element_at(v, F.lit(-1)), F.when((F.size(v) > 0) & ~only_nulls, last))
 
 
+def last_non_empty(v: Column) -> Column:
+    """The last element with text, or null."""
+    last = F.try_element_at(v, F.lit(-1))
+    return (F.when(F.coalesce(last, F.lit("")) != F.lit(""), last)
+             .when(F.size(v) > 1, F.try_element_at(F.filter(v, lambda x: F.coalesce(x, F.lit("")) != F.lit("")), F.lit(-1))))
+
+
 def coded(arr: Column) -> tuple[Column, Column]:
     """(concatenated value, last listURI) of a code element array."""
     return concat_values(values(arr)), last_present(attribute(arr, "listURI"))

@@ -17,6 +17,7 @@ from tenderlake.functions.reduce import (
     concat_values,
     field,
     first_non_empty,
+    last_non_empty,
     last_present,
     values,
     walk,
@@ -69,7 +70,7 @@ def _result_parts(result: Column, index: Column) -> Column:
     awarded = field(result, "AwardedTenderedProject")
     return F.struct(
         (index + F.lit(1)).cast("string").alias("result_id"),
-        F.filter(child(awarded, "ProcurementProjectLotID"),
+        F.filter(F.concat(field(result, "ProcurementProjectLotID"), child(awarded, "ProcurementProjectLotID")),
                  lambda x: F.coalesce(x, F.lit("")) != F.lit("")).alias("lot_ids"),
         child(awarded, "LegalMonetaryTotal").alias("totals"),
         field(result, "ResultCode").alias("codes"),
@@ -199,18 +200,14 @@ def _process() -> Column:
     )
 
 
-def _atom_text(c: Column) -> Column:
-    """Atom text fields: an element without text counts as absent."""
-    return F.when(c != F.lit(""), c)
-
-
 def atom_columns(raw: Column) -> list[Column]:
+    """Atom text fields: an element without text counts as absent, the last one with text wins."""
     return [
-        id_from_url(_atom_text(raw["id"])).alias("id"),
-        _atom_text(raw["title"]).alias("title"),
+        id_from_url(last_non_empty(raw["id"])).alias("id"),
+        last_non_empty(raw["title"]).alias("title"),
         last_present(raw["link"]["_href"]).alias("link"),
-        _atom_text(raw["summary"]).alias("summary"),
-        _atom_text(raw["updated"]).alias("updated"),
+        last_non_empty(raw["summary"]).alias("summary"),
+        last_non_empty(raw["updated"]).alias("updated"),
     ]
 
 
@@ -229,14 +226,18 @@ def _block_columns() -> list[Column]:
     ]
 
 
+BLOCK_COLUMNS = ["status", "contract_id", "contracting_party", "project", "project_lots", "tender_results",
+                 "terms_funding_program", "process"]
 ATOM = ["id", "title", "link", "summary", "updated"]
 
 
 def to_entries(parsed: DataFrame, raw_col: str = "e", keep: list[str] | None = None,
-               raw_xml_col: str | None = None) -> DataFrame:
+               raw_xml_col: str | None = None, columns=None) -> DataFrame:
     """Project parsed entries into the ENTRY schema and drop entries without id and title.
 
     When an entry holds several contract blocks the last one replaces all block fields.
+    ``columns`` must be what the parse was limited to, if it was: of the block's columns only
+    those are returned, so that what was not parsed never looks like an absent value.
     ``keep`` lists pass-through columns (e.g. ``period``) placed after the entry columns.
     All layers are narrow projections of the same rows (no shuffle).
     """
@@ -255,4 +256,5 @@ def to_entries(parsed: DataFrame, raw_col: str = "e", keep: list[str] | None = N
     df = df.select(*passthrough, *l1, *_layer_groups())
     l2 = ["_pj_budgets", "_pj_locations", "_parties", "_lots2", "_res2"]
     df = df.select(*passthrough, *l1, *l2, *_layer_leaves())
-    return df.select(*ATOM, *_block_columns(), *tail, *keep)
+    wanted = [c for n, c in zip(BLOCK_COLUMNS, _block_columns(), strict=True) if columns is None or n in columns]
+    return df.select(*ATOM, *wanted, *tail, *keep)

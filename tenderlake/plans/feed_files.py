@@ -2,8 +2,8 @@
 
 Layout (what the scans expect): ``<root>/<period>/part-<task>.xml`` or
 ``<root>/<period>/part-<task>.zip`` (one archive per task and period holding one feed file).
-Each task writes the periods it holds, so no shuffle is needed and a hot period is spread
-over as many files as tasks that hold it. A retried task rewrites the same file names.
+Rows are dealt to tasks by period and a salt and sorted, so a period is written by several
+tasks, each streaming one file at a time. A retried task rewrites the same file names.
 
 Files go under the shared checkpoint folder (``spark.checkpoint.dir``), written with
 pyarrow's file systems (local, HDFS and S3 URIs).
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tenderlake.plans.fixtures import feed_entries
 from tenderlake.session import ensure_checkpoint_dir, scratch_path
@@ -38,50 +39,67 @@ FEED_TAIL = "</feed>\n"
 _MEMO: dict[tuple, str] = {}
 
 
+SALTS = 4   # a period is written by up to so many tasks
+
+
 def _writer(root: str, archive: bool):
+    """Rows sorted by period -> one file per period, written as the rows come."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
         import zipfile
 
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
         fs, base = fs_and_path(root)
-        parts: dict[str, list[str]] = {}
+        open_period, out, member, zf, n, size = None, None, None, None, 0, 0
+        manifest = []
+
+        def close() -> None:
+            member.write(FEED_TAIL.encode())
+            if zf:
+                member.close()
+                zf.writestr("README.txt", "not a feed")
+                zf.close()
+            out.close()
+            manifest.append((open_period, f"{open_period}/{name}", n, size))
+
+        name = f"part-{pid:05d}." + ("zip" if archive else "xml")
         for pdf in batches:
-            for period, texts in pdf.groupby("period")["entry_xml"]:
-                parts.setdefault(period, []).extend(texts.tolist())
-        rows = []
-        for period, texts in parts.items():
-            body = FEED_HEAD + "\n".join(texts) + "\n" + FEED_TAIL
-            fs.create_dir(f"{base}/{period}", recursive=True)
-            name = f"part-{pid:05d}." + ("zip" if archive else "xml")
-            data = body.encode("utf-8")
-            if archive:
-                buf = io.BytesIO()
-                with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-                    zf.writestr("feeds/", "")
-                    zf.writestr(f"feeds/part-{pid:05d}.xml", data)
-                    zf.writestr("README.txt", "not a feed")
-                data = buf.getvalue()
-            with fs.open_output_stream(f"{base}/{period}/{name}") as out:
-                out.write(data)
-            rows.append((period, f"{period}/{name}", len(texts), len(data)))
-        yield pd.DataFrame(rows, columns=["period", "file", "n_entries", "bytes"])
+            for period, texts in pdf.groupby("period", sort=False)["entry_xml"]:
+                if period != open_period:
+                    if open_period is not None:
+                        close()
+                    open_period, n, size = period, 0, 0
+                    fs.create_dir(f"{base}/{period}", recursive=True)
+                    out = fs.open_output_stream(f"{base}/{period}/{name}")
+                    if archive:
+                        zf = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                        zf.writestr("feeds/", "")
+                        member = zf.open(f"feeds/part-{pid:05d}.xml", "w")
+                    else:
+                        member = out
+                    member.write(FEED_HEAD.encode())
+                data = ("\n".join(texts) + "\n").encode("utf-8")
+                member.write(data)
+                n, size = n + len(texts), size + len(data)
+        if open_period is not None:
+            close()
+        yield pd.DataFrame(manifest, columns=["period", "file", "n_entries", "bytes"])
 
     return run
 
 
 def write_feed(texts: DataFrame, root: str, archive: bool = False) -> DataFrame:
     """Write ``(period, entry_xml)`` rows as feed files below ``root``; returns the manifest."""
-    manifest = texts.select("period", "entry_xml").mapInPandas(
-        _writer(root, archive), "period string, file string, n_entries long, bytes long")
-    return manifest
+    n = 2 * texts.sparkSession.sparkContext.defaultParallelism
+    salt = F.pmod(F.xxhash64("entry_xml"), F.lit(SALTS))
+    dealt = texts.select("period", "entry_xml").repartition(n, F.col("period"), salt).sortWithinPartitions("period")
+    return dealt.mapInPandas(_writer(root, archive), "period string, file string, n_entries long, bytes long")
 
 
 def feed_root(spark: SparkSession, sf_dir: str, omit_atom: bool = False, archive: bool = False) -> str:
     """Feed files of ``sf_dir`` written once per session and checkpoint folder; returns the root."""
-    key = (sf_dir, omit_atom, archive, ensure_checkpoint_dir(spark), id(spark.sparkContext))
+    key = (sf_dir, omit_atom, archive, ensure_checkpoint_dir(spark), spark.sparkContext.applicationId)
     if key not in _MEMO:
         root = scratch_path(spark, "feed-zip" if archive else "feed")
         write_feed(feed_entries(spark, sf_dir, omit_atom=omit_atom), root, archive).count()

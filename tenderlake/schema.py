@@ -139,6 +139,7 @@ TENDER_RESULT = _st(
     ("WinningParty", _arr(_st(("PartyName", _arr(PARTY_NAME))))),
     ("SMEAwardedIndicator", _arr(S)),
     ("AwardDate", _arr(S)),
+    ("ProcurementProjectLotID", _arr(S)),
     ("AwardedTenderedProject", _arr(_st(
         ("ProcurementProjectLotID", _arr(S)),
         ("LegalMonetaryTotal", _arr(_st(("TaxExclusiveAmount", _arr(AMOUNT)),
@@ -164,8 +165,9 @@ CONTRACT_FOLDER_MEMBERS = [
 ]
 CONTRACT_FOLDER = _st(*CONTRACT_FOLDER_MEMBERS)
 
-# Atom fields are scalar: a repeated scalar keeps the last occurrence (rule "last wins").
-ATOM_FIELDS = [("id", S), ("title", S), ("summary", S), ("updated", S), ("link", _arr(_st(("_href", S))))]
+# Atom fields may repeat: the last occurrence with text wins.
+ATOM_FIELDS = [("id", _arr(S)), ("title", _arr(S)), ("summary", _arr(S)), ("updated", _arr(S)),
+               ("link", _arr(_st(("_href", S))))]
 
 # Output column -> contract block members it is computed from.
 BLOCK_MEMBERS_FOR = {

@@ -1,9 +1,13 @@
 """Feed sources: discovery of feed files (S1) and the entry scan (S2), plus the raw block.
 
-Default scan: the text source splits files at ``</entry>``, so a large feed file is read by
+Default scan: the text source splits files at ``<entry``, so a large feed file is read by
 many tasks (splittable), and each record is parsed with ``from_xml`` against the RAW schema.
 Strict scan: the built-in XML source with ``rowTag=entry`` (one task per file, full XML
 validation of the whole file). Both give the same parsed struct ``e``.
+
+An entry without an end tag (a truncated file) is malformed in every scan: FAILFAST raises,
+PERMISSIVE keeps its text in ``e._corrupt_record`` so that it can be counted. A file whose
+path does not lie below the scanned root raises; no file is dropped without a word.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenderlake.sources.fsio import qualified
 from tenderlake.schema import (
     ATOM_FIELDS,
     CONTRACT_FOLDER_MEMBERS,
@@ -22,9 +27,11 @@ from tenderlake.schema import (
 
 # Fixed value: feed files are *.xml / *.atom in any letter case.
 FEED_GLOB = "*.{[xX][mM][lL],[aA][tT][oO][mM]}"
+ENTRY_START = "<entry"
 ENTRY_END = "</entry>"
-# The contract block, kept as source text (any namespace prefix, CDATA and entities untouched).
-RAW_BLOCK_PATTERN = r"(?s)<[\w.-]+:ContractFolderStatus[\s>].*</[\w.-]+:ContractFolderStatus>"
+# The last contract block, kept as source text (with or without a prefix, CDATA and entities untouched).
+RAW_BLOCK_PATTERN = r"(?s).*(<(?:[\w.-]+:)?ContractFolderStatus[\s>].*?</(?:[\w.-]+:)?ContractFolderStatus\s*>)"
+CORRUPT = "_corrupt_record"
 
 
 def xml_options(mode: str = "FAILFAST") -> dict[str, str]:
@@ -32,11 +39,20 @@ def xml_options(mode: str = "FAILFAST") -> dict[str, str]:
 
 
 def parse_entry_text(text: Column, mode: str = "FAILFAST", ddl: str = RAW_ENTRY_DDL) -> Column:
-    """``from_xml`` of one ``<entry>`` text into the RAW struct."""
-    return F.from_xml(text, ddl, xml_options(mode))
+    """``from_xml`` of one ``<entry>`` text into the RAW struct (with CORRUPT in PERMISSIVE mode)."""
+    options = xml_options(mode)
+    if mode.upper() == "PERMISSIVE":
+        ddl = f"{ddl}, {CORRUPT} STRING"
+        options["columnNameOfCorruptRecord"] = CORRUPT
+    return F.from_xml(text, ddl, options)
+
 
+def malformed(e: Column) -> Column:
+    """Whether a struct parsed in PERMISSIVE mode stands for an entry that is no well-formed XML."""
+    return e[CORRUPT].isNotNull()
 
-def _widen(e: Column, members: set[str]) -> Column:
+
+def _widen(e: Column, members: set[str], corrupt: bool) -> Column:
     """A struct parsed with some block members only, given the full RAW type (others null).
 
     Building the nested struct is most of the parse cost, so members no output needs are
@@ -46,51 +62,65 @@ def _widen(e: Column, members: set[str]) -> Column:
         return F.struct(*[(c[n] if n in members else F.lit(None).cast(t)).alias(n)
                           for n, t in CONTRACT_FOLDER_MEMBERS])
 
-    atoms = [e[n].alias(n) for n, _ in ATOM_FIELDS]
+    atoms = [e[n].alias(n) for n, _ in ATOM_FIELDS] + ([e[CORRUPT].alias(CORRUPT)] if corrupt else [])
     return F.struct(*atoms, F.transform(e["ContractFolderStatus"], block).alias("ContractFolderStatus"))
 
 
 def raw_block(text: Column) -> Column:
     """The contract block of an entry as it appears in the source, null when absent."""
-    block = F.regexp_extract(text, RAW_BLOCK_PATTERN, 0)
+    block = F.regexp_extract(text, RAW_BLOCK_PATTERN, 1)
     return F.when(block != F.lit(""), block)
 
 
-def _path_only(root: str) -> str:
-    """``file:/a/b/`` or ``/a/b`` -> ``a/b`` (scheme and leading/trailing slashes removed)."""
-    path = root.split(":", 1)[1] if ":" in root.split("/", 1)[0] else root
-    return path.strip("/")
+def below(path: Column, root_path: str) -> Column:
+    """The part of a file's URI below the root's URI path; raises for a file that lies elsewhere."""
+    pattern = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/]*)?\Q" + root_path.rstrip("/") + r"\E/+(.+)$"
+    rel = F.regexp_extract(path, pattern, 1)
+    return F.when(rel != F.lit(""), rel).otherwise(
+        F.raise_error(F.concat(F.lit(f"not below {root_path}: "), path)).cast("string"))
+
 
+def decoded_name(name: Column) -> Column:
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
-def period_from_path(path: Column, root: str) -> Column:
-    """Name of the immediate sub-directory of ``root`` holding the file; '' for top-level files."""
-    pattern = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/*\Q" + _path_only(root) + r"\E/([^/]+)/.+$"
-    return F.regexp_extract(path, pattern, 1)
+
+def period_from_path(path: Column, root_path: str) -> Column:
+    """Name of the folder right below the root that holds the file; '' for files right below the root.
+
+    ``path`` is a file's URI and ``root_path`` the root's URI path (``fsio.qualified``).
+    """
+    rel = below(path, root_path)
+    return F.when(rel.contains("/"), decoded_name(F.substring_index(rel, "/", 1))).otherwise(F.lit(""))
 
 
-def list_feed_files(spark: SparkSession, root: str) -> DataFrame:
+def list_feed_files(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
     """``(period, path, length)`` of every feed file below ``root/<period>/`` (any depth).
 
     Only file metadata is read (the binary source skips content when it is not selected).
-    Top-level files are ignored; empty period directories give no row.
+    Top-level files are ignored; empty period directories give no row. ``paths`` lists those
+    folders only.
     """
+    full, root_path = qualified(spark, root)
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
              .option("pathGlobFilter", FEED_GLOB)
-             .load(root)
-             .select("path", "length"))
-    return (files.select(period_from_path(F.col("path"), root).alias("period"), "path", "length")
+             .load(paths if paths else full)
+             .select("path", "length", F.col("_metadata.file_path").alias("_uri")))
+    return (files.select(period_from_path(F.col("_uri"), root_path).alias("period"), "path", "length")
                  .where(F.col("period") != F.lit("")))
 
 
 def split_entries(records: DataFrame, text_col: str = "value") -> DataFrame:
-    """Text records cut at ``</entry>`` -> one ``<entry>...</entry>`` string each.
+    """Text records cut at ``<entry`` -> one ``<entry>...</entry>`` string each.
 
-    The feed head before the first entry and the tail after the last one give no row.
+    The feed head before the first entry gives no row; what follows an end tag is dropped; an
+    entry without an end tag stays as it is, so that the parse takes it for malformed.
     """
-    body = F.regexp_extract(F.col(text_col), r"(?s)<entry[\s>].*$", 0)
-    return (records.withColumn("entry_xml", F.concat(body, F.lit(ENTRY_END)))
-                   .where(body != F.lit(""))
+    value = F.col(text_col)
+    end = F.instr(value, ENTRY_END)
+    body = F.when(end > 0, F.substring(value, F.lit(1), end + F.lit(len(ENTRY_END) - 1))).otherwise(value)
+    return (records.where(value.rlike(r"^[\s>]"))
+                   .withColumn("entry_xml", F.concat(F.lit(ENTRY_START), body))
                    .drop(text_col))
 
 
@@ -100,28 +130,32 @@ def read_entry_texts(spark: SparkSession, root: str, paths: list[str] | None = N
     ``paths`` restricts the scan to those directories/files (built from selected periods, so
     unselected periods are never listed or read).
     """
+    full, root_path = qualified(spark, root)
     reader = (spark.read.format("text")
-              .option("lineSep", ENTRY_END)
+              .option("lineSep", ENTRY_START)
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", FEED_GLOB))
-    raw = reader.load(paths if paths else root)
+    raw = reader.load(paths if paths else full)
     raw = raw.select(F.col("value"), F.col("_metadata.file_path").alias("path"))
-    raw = raw.withColumn("period", period_from_path(F.col("path"), root)).where(F.col("period") != F.lit(""))
+    raw = raw.withColumn("period", period_from_path(F.col("path"), root_path)).where(F.col("period") != F.lit(""))
     return split_entries(raw)
 
 
 def read_entries_strict(spark: SparkSession, root: str, paths: list[str] | None = None,
                         mode: str = "FAILFAST") -> DataFrame:
     """S2 (strict form): the XML source, ``rowTag=entry``; ``(period, path, e)``."""
+    full, root_path = qualified(spark, root)
+    ddl = f"{RAW_ENTRY_DDL}, {CORRUPT} STRING" if mode.upper() == "PERMISSIVE" else RAW_ENTRY_DDL
     reader = (spark.read.format("xml").options(**xml_options(mode))
               .option("rowTag", "entry")
+              .option("columnNameOfCorruptRecord", CORRUPT)
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", FEED_GLOB)
-              .schema(RAW_ENTRY_DDL))
-    df = reader.load(paths if paths else root)
+              .schema(ddl))
+    df = reader.load(paths if paths else full)
     cols = [F.col(c) for c in df.columns]
     df = df.select(F.struct(*cols).alias("e"), F.col("_metadata.file_path").alias("path"))
-    return (df.withColumn("period", period_from_path(F.col("path"), root))
+    return (df.withColumn("period", period_from_path(F.col("path"), root_path))
               .where(F.col("period") != F.lit("")))
 
 
@@ -140,7 +174,7 @@ def parse_entries(texts: DataFrame, text_col: str = "entry_xml", mode: str = "FA
     cols = [F.col(c) for c in texts.columns]
     out = texts.select(*cols, F.explode(F.array(parse_entry_text(F.col(text_col), mode, ddl))).alias("e"))
     if members is not None:
-        out = out.withColumn("e", _widen(F.col("e"), members))
+        out = out.withColumn("e", _widen(F.col("e"), members, mode.upper() == "PERMISSIVE"))
     if keep_raw_xml:
         out = out.withColumn("raw_block", raw_block(F.col(text_col)))
     return out

@@ -7,8 +7,8 @@ from tenderlake.sources.xml_feed import parse_entries, split_entries
 
 
 def entries_of(spark, feed_text: str, keep_raw_xml: bool = False):
-    """Cut a whole feed document at </entry> (as the text scan does), parse and project."""
-    parts = feed_text.split("</entry>")
+    """Cut a whole feed document at <entry (as the text scan does), parse and project."""
+    parts = feed_text.split("<entry")
     recs = spark.createDataFrame([(p,) for p in parts], "value string")
     texts = split_entries(recs)
     parsed = parse_entries(texts, keep_raw_xml=keep_raw_xml)

@@ -133,11 +133,11 @@ def test_pruned_parse_matches_full_parse(spark):
     from tenderlake.schema import BLOCK_MEMBERS_FOR
     from tenderlake.sources.xml_feed import parse_entries, split_entries
 
-    recs = spark.createDataFrame([(p,) for p in feed(BLOCK, "<entry><id>z</id></entry>").split("</entry>")],
+    recs = spark.createDataFrame([(p,) for p in feed(BLOCK, "<entry><id>z</id></entry>").split("<entry")],
                                  "value string")
     texts = split_entries(recs)
     full = {r.id: r.asDict(recursive=True) for r in to_entries(parse_entries(texts)).collect()}
     for col in BLOCK_MEMBERS_FOR:
-        part = to_entries(parse_entries(texts, columns=["id", col])).select("id", col).collect()
+        part = to_entries(parse_entries(texts, columns=["id", col]), columns=["id", col]).select("id", col).collect()
         got = {d["id"]: d[col] for d in (x.asDict(recursive=True) for x in part)}
         assert got == {k: v[col] for k, v in full.items()}, col
