@@ -38,7 +38,7 @@ def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def with_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their token ids and number."""
     ids = fresh(docs, "token_ids")
-    return docs.withColumn(ids, bpe.token_ids(spark, docs, default_ranks())).withColumn(fresh(docs, "n_tokens"), F.size(ids).cast("long"))
+    return bpe.encode(spark, docs, default_ranks(), ids).withColumn(fresh(docs, "n_tokens"), F.size(ids).cast("long"))
 
 
 STAGES = [

@@ -25,9 +25,11 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenderlake.llm.common import by_value, written
 
@@ -39,7 +41,8 @@ WINDOW_DOUBLINGS = 5  # the rolling hash covers 2 ** 5 bytes
 AVERAGE_BITS = 9  # a cut every 2 ** 9 bytes on average
 LONGEST = 4096
 SHARED = 16_384
-RECENT = 8192
+RECENT = 4096
+SLICE = 256
 _BLOCK = 1 << 20
 _FACTOR = 0x9E3779B97F4A7C15
 _SYNC = re.compile(rb"(?<=[!-~])[ \n]")
@@ -181,30 +184,31 @@ def shared_chunks(spark: SparkSession, docs: DataFrame, path: str, most: int = S
     return written(spark, texts.mapInPandas(encoded, "core binary, ids array<int>"), "bpe-chunks")
 
 
-def token_ids(spark: SparkSession, docs: DataFrame, path: str, most: int = SHARED) -> Column:
-    """The ids of column ``text`` of ``docs`` as array<int>, with the chunks that ``docs`` shares encoded once."""
+def encode(spark: SparkSession, docs: DataFrame, path: str, ids: str = "token_ids", decoded: str | None = None, most: int = SHARED) -> DataFrame:
+    """``docs`` with the ids of its column ``text``, and with the text decoded from them if ``decoded`` names a column.
+
+    Chunks that ``docs`` shares are encoded once. Rows leave a task in slices of ``SLICE``, which bounds its memory.
+    """
     table = {bytes(r["core"]): np.array(r["ids"], dtype=np.int32) for r in shared_chunks(spark, docs, path, most).toLocalIterator()}
     known = spark.sparkContext.broadcast(table)
+    place = docs.columns.index("text")
+    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    if decoded:
+        schema = schema.add(decoded, T.StringType())
 
-    @F.pandas_udf("array<int>")
-    def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode, recent = plain_encoder(path), {}
-        for batch in texts:
-            yield pd.Series([encode_text(t, encode, known.value, recent) for t in batch], dtype="object")
-
-    return encoded(F.col("text"))
-
-
-def decoded(ids: Column, path: str) -> Column:
-    """The text of each array of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
-
-    @F.pandas_udf("string")
-    def text(arrays: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocab = vocabulary(path)
-        for batch in arrays:
-            yield pd.Series([None if a is None else vocab.decode(a.tolist()) for a in batch], dtype="object")
-
-    return text(ids)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, vocab, recent = plain_encoder(path), vocabulary(path), {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                rows = [encode_text(t, plain, known.value, recent) for t in part.column(place).to_pylist()]
+                ends = np.concatenate(([0], np.cumsum([len(x) for x in rows]))).astype(np.int32)
+                out = [*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))]
+                if decoded:
+                    out.append(pa.array([vocab.decode(x.tolist()) for x in rows], type=pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names=schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 by_value(__name__)

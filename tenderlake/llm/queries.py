@@ -64,9 +64,7 @@ def op6_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of token ids, and digests of the ids and of the text decoded from them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ranks = default_ranks()
-    ids = docs.select("doc_id", bpe.token_ids(spark, docs, ranks).alias("ids"))
-    return ids.select("doc_id", "ids", bpe.decoded(F.col("ids"), ranks).alias("decoded")).select(
+    return bpe.encode(spark, docs, default_ranks(), ids="ids", decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

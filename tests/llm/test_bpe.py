@@ -61,9 +61,9 @@ def test_shared_chunks_and_odd_rows(spark, reference):
     rows = [(i, t, "x") for i, t in enumerate(texts())] + [(None, "the same passage " * 400, None)] * 3
     docs = spark.createDataFrame(rows, "doc_id int, text string, ids string")
     assert bpe.shared_chunks(spark, docs, RANKS).count() > 0
-    got = docs.withColumn("got", bpe.token_ids(spark, docs, RANKS, most=10)).withColumn("back", bpe.decoded("got", RANKS)).collect()
+    got = bpe.encode(spark, docs, RANKS, "got", "back", most=10).collect()
     for r in got:
         assert r.got == reference.encode(r.text or "", add_special_tokens=False).ids
         assert r.back == (r.text or "")
     empty = docs.limit(0)
-    assert empty.select(bpe.token_ids(spark, empty, RANKS)).count() == 0
+    assert bpe.encode(spark, empty, RANKS, "got").count() == 0
