@@ -47,8 +47,7 @@ def matches_local_name(qname, local: str) -> Column:
 
 def url_path_last_segment(url) -> Column:
     """Last segment of the path of an absolute URL (query and fragment ignored)."""
-    path = F.try_parse_url(_c(url), F.lit("PATH"))
-    return F.try_element_at(F.split(path, "/"), F.lit(-1))
+    return F.regexp_extract(_c(url), r"^[^?#]*/([^/?#]*)", 1)
 
 
 def period_from_archive_name(name) -> Column:

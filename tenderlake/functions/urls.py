@@ -1,69 +1,80 @@
-"""Relative -> absolute URL (H2), the one scalar with no built-in Spark equivalent.
-
-Absolute ``scheme://`` URLs, root-relative paths and plain relative paths without dot
-segments are resolved with SQL string functions; every other form goes to an
-Arrow-batched pandas UDF around the standard library's RFC 3986 resolution: dot
-segments are removed, the base query/fragment do not carry over. Surrounding white space
-of the href is dropped; an href that cannot be resolved gives null. Non-ASCII characters
-are kept as they are (no percent-encoding).
+"""Relative -> absolute URL (H2) in SQL functions only.
+
+Reference resolution as in RFC 3986 section 5.2, with what web pages need on top: white space
+around the href and line breaks inside it are dropped, scheme and host are lower-cased, an href with the
+base's own scheme and no host counts as relative, and characters that a path or query may not
+hold (blanks, quotes, angle brackets, braces, back quotes, controls, non-ASCII) are
+percent-encoded. An href that gives no host for http(s), or no scheme at all, gives null.
 """
 
 from __future__ import annotations
 
-import sys
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
-from pyspark import cloudpickle
+_SCHEME = "^([A-Za-z][A-Za-z0-9+.-]*):"
+_PARTS = "^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://([^/?#]*))?([^?#]*)"
+_TO_ENCODE = "[^\\x21\\x23-\\x3B\\x3D\\x3F-\\x5F\\x61-\\x7A\\x7C\\x7E]"
 
-# Functions of this module run in Python workers: ship them by value so the workers do not
-# need the package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def remove_dot_segments(path: Column) -> Column:
+    """RFC 3986 section 5.2.4."""
+    def step(acc: Column, s: Column) -> Column:
+        up = F.when(F.size(acc) > 1, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(acc)
+        return F.when(s == ".", acc).when(s == "..", up).otherwise(F.array_append(acc, s))
+
+    def clean(segments: Column) -> Column:
+        kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+        ends_in_dots = F.element_at(segments, -1).isin(".", "..")
+        return F.array_join(F.when(ends_in_dots, F.array_append(kept, F.lit(""))).otherwise(kept), "/")
 
+    return F.when(path.rlike("(^|/)\\.\\.?(/|$)"), _let(F.split(path, "/"), clean)).otherwise(path)
 
-def _join(base: str | None, href: str | None) -> str | None:
-    from urllib.parse import urljoin, urlsplit
 
-    if base is None or href is None:
-        return None
-    href = href.strip().replace("\t", "").replace("\n", "").replace("\r", "")
-    try:
-        out = urljoin(base, href)
-        parts = urlsplit(out)
-    except ValueError:
-        return None
-    if not parts.scheme or (parts.scheme in ("http", "https") and not parts.netloc):
-        return None
-    return out
+def percent_encode(text: Column) -> Column:
+    """Encodes what a path or a query may not hold; existing percent signs stay."""
+    one = lambda c: F.when(c.rlike(_TO_ENCODE), F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))).otherwise(c)
+    return F.when(text.rlike(_TO_ENCODE), F.array_join(F.transform(F.split(text, ""), one), "")).otherwise(text)
 
 
-@F.pandas_udf(T.StringType())
-def _resolve_py(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series([_join(b, h) for b, h in zip(base, href)], dtype=object)
+def _parsed(url: Column) -> Column:
+    """(scheme, has_host, host, path, query with its mark, fragment with its mark) of a URL or reference."""
+    return F.struct(
+        F.lower(F.regexp_extract(url, _SCHEME, 1)).alias("scheme"),
+        url.rlike("^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//").alias("has_host"),
+        F.lower(F.regexp_extract(url, _PARTS, 1)).alias("host"),
+        F.regexp_extract(url, _PARTS, 2).alias("path"),
+        F.regexp_extract(url, "^[^?#]*(\\?[^#]*)", 1).alias("query"),
+        F.regexp_extract(url, "(#.*)$", 1).alias("fragment"),
+    )
 
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
-# hrefs the SQL path resolves exactly like RFC 3986 resolution does: no dot segments, no
-# white space, backslash or ";" params, not scheme-relative, not only a query/fragment, no
-# empty query/fragment marker, not empty, and either a full lower-case "scheme://" URL or
-# free of any scheme prefix.
-_NEEDS_PYTHON = r"(^|/)\.\.?(/|$)|[\s\\;]|^//|^[?#]|^$|[?#]$|\?#"
+def _joined(b: Column, r: Column) -> Column:
+    absolute = (r["scheme"] != "") & ((r["scheme"] != b["scheme"]) | r["has_host"])
+    directory = F.regexp_extract(b["path"], "^(.*/)", 1)
+    merged = F.concat(F.when(b["has_host"] & (directory == ""), F.lit("/")).otherwise(directory), r["path"])
+    path = (F.when(absolute | r["has_host"], F.when(r["path"].startswith("/"), remove_dot_segments(r["path"])).otherwise(r["path"]))
+             .when(r["path"] == "", b["path"])
+             .when(r["path"].startswith("/"), remove_dot_segments(r["path"]))
+             .otherwise(remove_dot_segments(merged)))
+    query = F.when(~absolute & ~r["has_host"] & (r["path"] == "") & (r["query"] == ""), b["query"]).otherwise(r["query"])
+    scheme = F.when(absolute, r["scheme"]).otherwise(b["scheme"])
+    own_host = absolute | r["has_host"]
+    has_host = F.when(own_host, r["has_host"]).otherwise(b["has_host"])
+    host = F.when(own_host, r["host"]).otherwise(b["host"])
+    url = F.concat(scheme, F.lit(":"), F.when(has_host, F.concat(F.lit("//"), host)).otherwise(F.lit("")),
+                   percent_encode(path), percent_encode(query), r["fragment"])
+    good = (scheme != "") & (~scheme.isin("http", "https") | (has_host & (host != "")))
+    return F.when(good, url)
 
 
 def resolve_url(base: Column, href: Column) -> Column:
-    """Resolve ``href`` against ``base``; common forms in SQL, the rest in the pandas UDF."""
-    origin = F.regexp_extract(base, r"^((?:https?|HTTPS?)://[^/?#]+)", 1)
-    path = F.regexp_extract(base, r"^(?:https?|HTTPS?)://[^/?#]+([^?#]*)", 1)
-    directory = F.regexp_extract(path, r"^(.*/)", 1)
-    directory = F.when(directory == F.lit(""), F.lit("/")).otherwise(directory)
-    full = href.rlike(r"^[a-z][a-z0-9+.-]*://")
-    schemed = href.rlike(_SCHEME)
-    fast = (origin != F.lit("")) & ~href.rlike(_NEEDS_PYTHON) & (full | ~schemed)
-    in_sql = (F.when(full, href)
-               .when(href.startswith("/"), F.concat(origin, href))
-               .otherwise(F.concat(origin, directory, href)))
-    slow = _resolve_py(F.when(~fast, base), F.when(~fast, href))
-    return F.when(fast, in_sql).otherwise(slow)
+    """Resolve ``href`` against ``base``; null when either is null or no URL comes out."""
+    clean = F.regexp_replace(F.regexp_replace(href, "^[\\x00-\\x20]+|[\\x00-\\x20]+$", ""), "[\\t\\n\\r]", "")
+    pair = F.struct(_parsed(base).alias("b"), _parsed(clean).alias("r"))
+    return F.when(base.isNotNull() & href.isNotNull(), _let(pair, lambda p: _joined(p["b"], p["r"])))

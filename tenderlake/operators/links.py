@@ -15,24 +15,35 @@ from tenderlake.functions.urls import resolve_url
 
 # Parts of a page that never hold live anchors.
 _INERT = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-_ANCHOR = r"(?is)<a\s[^>]*>"
-_HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+# Quoted values are stepped over whole, so a ">" or an "href=" inside one ends nothing.
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+_ANCHOR = r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*+>"""
+_HREF = r"""(?is)^<a(?:\s+(?!href\s*=)[^\s=>"']+(?:\s*=\s*""" + _VALUE + r""")?)*+\s+href\s*=\s*(""" + _VALUE + ")"
+_NUMBERED = "&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+
+
+def _character(ref: Column) -> Column:
+    """The character of a numeric reference; the reference itself if there is none."""
+    hexed = F.regexp_extract(ref, "^&#[xX]([0-9a-fA-F]+);$", 1)
+    code = F.when(hexed != "", F.conv(hexed, 16, 10)).otherwise(F.regexp_extract(ref, "^&#([0-9]+);$", 1)).cast("int")
+    there = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(there, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(ref)
 
 
 def _decode_entities(c: Column) -> Column:
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(_NUMBERED), F.lit(0)))
+    c = F.when(c.contains("&#"), F.aggregate(refs, c, lambda acc, r: F.replace(acc, r, _character(r)))).otherwise(c)
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         c = F.replace(c, F.lit(ent), F.lit(ch))
     return c
 
 
 def anchor_hrefs(html: Column) -> Column:
-    """``href`` of every ``<a>`` tag with one, in document order (entities decoded)."""
-    tags = F.regexp_extract_all(F.regexp_replace(html, _INERT, ""), F.lit(_ANCHOR), 0)
-    hrefs = F.transform(tags, lambda t: F.when(
-        t.rlike(_HREF),
-        _decode_entities(F.concat(F.regexp_extract(t, _HREF, 1), F.regexp_extract(t, _HREF, 2),
-                                  F.regexp_extract(t, _HREF, 3)))))
-    return F.filter(hrefs, lambda h: h.isNotNull())
+    """``href`` of every ``<a>`` tag with one, in document order (references decoded)."""
+    tags = F.regexp_extract_all(F.regexp_replace(html, _INERT, ""), F.lit(_ANCHOR), F.lit(0))
+    raw = F.filter(F.transform(tags, lambda t: F.regexp_extract(t, _HREF, 1)), lambda v: v != "")
+    bare = lambda v: F.when(v.rlike("^[\"']"), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
+    return F.transform(raw, lambda v: F.when(v.contains("&"), _decode_entities(bare(v))).otherwise(bare(v)))
 
 
 def page_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -40,7 +51,8 @@ def page_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """``(page_id, pos, href, url)``: every anchor href, resolved against the page URL."""
     a = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("base"),
                      F.posexplode(anchor_hrefs(F.col(html_col))).alias("pos", "href"))
-    a = a.withColumn("url", resolve_url(F.col("base"), F.col("href")))
+    # through a generator, so that the filter below does not resolve every URL a second time
+    a = a.select("page_id", "pos", "href", F.explode(F.array(resolve_url(F.col("base"), F.col("href")))).alias("url"))
     return a.where(F.col("url").isNotNull()).select("page_id", "pos", "href", "url")
 
 
