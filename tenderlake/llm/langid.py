@@ -26,6 +26,8 @@ from tenderlake.llm.common import by_value
 
 SIZE = 400
 SAMPLE = 4000
+#: Documents whose n-grams are counted at once; bounds a task's memory.
+SLICE = 256
 UNKNOWN = "und"
 _BITS = np.uint64(21)
 _BLANK = 32
@@ -69,9 +71,10 @@ def ranked(text: str | None, size: int) -> np.ndarray:
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for lang, texts in batch.groupby("lang")["text"]:
-            codes, n = np.unique(np.concatenate([grams(t) for t in texts]), return_counts=True)
-            yield pd.DataFrame({"lang": lang, "gram": codes.astype(np.int64), "n": n.astype(np.int64)})
+        for at in range(0, len(batch), SLICE):
+            for lang, texts in batch.iloc[at : at + SLICE].groupby("lang")["text"]:
+                codes, n = np.unique(np.concatenate([grams(t) for t in texts]), return_counts=True)
+                yield pd.DataFrame({"lang": lang, "gram": codes.astype(np.int64), "n": n.astype(np.int64)})
 
 
 def learn(labelled: DataFrame, size: int = SIZE, sample: int = SAMPLE) -> dict[str, np.ndarray]:

@@ -39,7 +39,9 @@ FUZZY = 4
 WINDOW = 8
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
-_CACHE = 200_000
+_CACHE = 50_000
+#: Documents whose words are counted at once; bounds a task's memory.
+SLICE = 500
 
 _STRIP = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»“”„‘’‹›…–—¿¡"
 _OPEN, _CLOSE = "\"'«“„‘‹»", "\"'»”“’›«"
@@ -172,11 +174,12 @@ class Model:
 
 def _document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        n = {0: Counter(), 1: Counter()}
-        for label, text in zip(batch["label"], batch["text"]):
-            n[int(label)].update({s for w in set((text or "").lower().split()) if (s := spelled(w))})
-        words = sorted(n[0].keys() | n[1].keys())
-        yield pd.DataFrame({"word": words, "toxic": [n[1][w] for w in words], "clean": [n[0][w] for w in words]})
+        for at in range(0, len(batch), SLICE):
+            part, n = batch.iloc[at : at + SLICE], {0: Counter(), 1: Counter()}
+            for label, text in zip(part["label"], part["text"]):
+                n[int(label)].update({s for w in set((text or "").lower().split()) if (s := spelled(w))})
+            words = sorted(n[0].keys() | n[1].keys())
+            yield pd.DataFrame({"word": words, "toxic": [n[1][w] for w in words], "clean": [n[0][w] for w in words]})
 
 
 def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> Lexicon:
