@@ -2,8 +2,9 @@
 
 A run is summarised per group from per-item rows ``(group, bytes, seconds, error)``:
 items processed and skipped, total size in MiB, elapsed time as ``HH:MM:SS``, throughput in
-MiB/s (the size itself when no time elapsed), and all error messages joined with ``'; '``.
-Every aggregate is partial-aggregated before its shuffle.
+MiB/s (the size itself when no time elapsed), the number of errors and the first message.
+Every aggregate is of constant size per group and aggregated before its shuffle. The messages
+themselves stay rows; ``joined_errors`` joins them where a group is bounded by its nature.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ def summarize(items: DataFrame, group: str, bytes_col: str = "bytes", seconds_co
         F.sum(bytes_col).alias("total_bytes"),
         F.sum(seconds_col).alias("seconds"),
         F.count(error).alias("n_errors"),
-        F.array_join(F.array_sort(F.collect_list(error)), ERROR_SEPARATOR).alias("errors"),
+        F.min(error).alias("first_error"),
     )
     mb = mb_from_bytes(F.col("total_bytes"))
     return g.select(
@@ -43,11 +44,19 @@ def summarize(items: DataFrame, group: str, bytes_col: str = "bytes", seconds_co
         round2(mb).alias("size_mb"),
         format_duration(F.col("seconds")).alias("elapsed"),
         round2(throughput(mb, F.col("seconds"))).alias("throughput_mb_s"),
-        "n_errors",
-        F.when(F.col("n_errors") > 0, F.col("errors")).alias("errors"),
+        "n_errors", "first_error",
     )
 
 
+def joined_errors(items: DataFrame, group: str, error_col: str = "error") -> DataFrame:
+    """A10: the messages of each group joined with ``'; '``, in their order.
+
+    For groups that are small by their nature, such as the archives of a period.
+    """
+    messages = items.where(F.col(error_col).isNotNull())
+    return messages.groupBy(group).agg(F.array_join(F.array_sort(F.collect_list(error_col)), ERROR_SEPARATOR).alias("errors"))
+
+
 def directory_size(spark, path: str) -> DataFrame:
     """``(files, bytes)`` of everything below ``path``, any depth, from file metadata only."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")

@@ -17,8 +17,9 @@ from tenderlake.operators import periods as P
 from tenderlake.operators.entries import to_entries
 from tenderlake.plans.feed_files import feed_root
 from tenderlake.session import scratch_path
-from tenderlake.sinks.table import read_entries, table_files, write_entries
+from tenderlake.sinks.table import COMPACT_BYTES, empty_entries, read_entries, table_files, write_entries
 from tenderlake.sources.archives import read_archive_entries
+from tenderlake.sources.fsio import folders
 from tenderlake.sources.xml_feed import list_feed_files, parse_entries, read_entries_strict, read_entry_texts
 
 
@@ -113,40 +114,40 @@ def _order_months(spark, sf_dir):
     return _t(spark, sf_dir, "orders").select(_month("o_orderdate").alias("period")).distinct()
 
 
-# Manifests of finished work, as ship months of two rare kinds of lines (leaving gaps).
-DONE_LINES = "l_discount = 0.1 AND l_tax = 0.08"
-ARCHIVED_LINES = "l_discount = 0.05 AND l_tax = 0.0"
+# Manifests of finished work: the ship months of all lines but every fifth (third) month, so gaps
+# exist at any size and only the period decides on them.
+DONE_GAP, ARCHIVED_GAP = 5, 3
 
 
-def _ship_months(spark, sf_dir, condition: str):
-    li = _t(spark, sf_dir, "lineitem").where(condition)
-    return li.select(_month("l_shipdate").alias("period")).distinct()
+def _ship_months(spark, sf_dir, gap: int):
+    li = _t(spark, sf_dir, "lineitem").select(_month("l_shipdate").alias("period"))
+    return li.where(F.col("period").cast("int") % gap != 0).distinct()
 
 
 def targets_semi(spark, sf_dir):
-    """Months found 'on disk' (ship months of done lines) that are requested targets (order months)."""
-    return M.found_in_targets(_ship_months(spark, sf_dir, DONE_LINES), _order_months(spark, sf_dir))
+    """Months found 'on disk' (ship months without gaps) that are requested targets (order months)."""
+    return M.found_in_targets(_ship_months(spark, sf_dir, DONE_GAP), _order_months(spark, sf_dir))
 
 
 def targets_todo(spark, sf_dir):
-    """Target months not yet downloaded (done = ship months of done lines)."""
-    return M.not_done(_order_months(spark, sf_dir), _ship_months(spark, sf_dir, DONE_LINES))
+    """Target months not yet downloaded (done = ship months but every fifth)."""
+    return M.not_done(_order_months(spark, sf_dir), _ship_months(spark, sf_dir, DONE_GAP))
 
 
 def archives_todo(spark, sf_dir):
-    """Archives (ship months of archived lines) not yet extracted (extracted = months of finished orders)."""
+    """Archives (ship months but every third) not yet extracted (extracted = months of finished orders)."""
     done = _t(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(_month("o_orderdate").alias("period"))
-    return M.not_done(_ship_months(spark, sf_dir, ARCHIVED_LINES), done)
+    return M.not_done(_ship_months(spark, sf_dir, ARCHIVED_GAP), done)
 
 
 def targets_missing(spark, sf_dir):
-    """Target months without an archive (archives = ship months of archived lines)."""
-    return M.missing(_order_months(spark, sf_dir), _ship_months(spark, sf_dir, ARCHIVED_LINES))
+    """Target months without an archive (archives = ship months but every third)."""
+    return M.missing(_order_months(spark, sf_dir), _ship_months(spark, sf_dir, ARCHIVED_GAP))
 
 
 def stage_counts(spark, sf_dir):
-    return M.stage_counts(_order_months(spark, sf_dir), _ship_months(spark, sf_dir, DONE_LINES),
-                          _ship_months(spark, sf_dir, ARCHIVED_LINES))
+    return M.stage_counts(_order_months(spark, sf_dir), _ship_months(spark, sf_dir, DONE_GAP),
+                          _ship_months(spark, sf_dir, ARCHIVED_GAP))
 
 
 # ----------------------------------------------------------------------------- scalars
@@ -224,11 +225,11 @@ def archive_stem(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- sources and sinks
 
-def _entries_from_root(spark, root, strict=False):
+def _entries_from_root(spark, root, paths=None, strict=False):
     if strict:
-        parsed = read_entries_strict(spark, root)
+        parsed = read_entries_strict(spark, root, paths)
     else:
-        parsed = parse_entries(read_entry_texts(spark, root))
+        parsed = parse_entries(read_entry_texts(spark, root, paths))
     e = to_entries(parsed, keep=["period"])
     return e.withColumn("procurement_type", F.lit(S.PUBLIC_TENDERS))
 
@@ -268,21 +269,25 @@ def batch_union(spark, sf_dir):
 
 
 def compact_counts(spark, sf_dir):
-    """K3: compacted write -> one file per period; rows per period read back."""
+    """K3: compacted write -> files per period bounded by its size; rows per period read back."""
     root = feed_root(spark, sf_dir)
     out = scratch_path(spark, "table")
     write_entries(_entries_from_root(spark, root), out, compact=True)
-    files = table_files(spark, out).groupBy("period").agg(F.count("*").alias("n_files"))
+    files = table_files(spark, out).groupBy("period").agg(F.count("*").alias("n_files"), F.sum("bytes").alias("bytes"))
     rows = read_entries(spark, out).groupBy("period").agg(F.count("*").alias("n_entries"))
-    return rows.join(files, "period")
+    # a file may hold less than the size aimed at: Parquet packs rows tighter than the shuffle does
+    most = 1 + F.floor(16 * F.col("bytes") / COMPACT_BYTES)
+    return rows.join(files, "period").select("period", "n_entries", (F.col("n_files") <= most).alias("compacted"))
 
 
 def period_overwrite(spark, sf_dir):
     """K1 + K4: full write, then a second run over 1995 only with another feed; other periods stay."""
     out = scratch_path(spark, "table")
     write_entries(_entries_from_root(spark, feed_root(spark, sf_dir)), out)
-    second = _entries_from_root(spark, feed_root(spark, sf_dir, omit_atom=True))
-    write_entries(second.where(F.col("period").between("199501", "199512")), out)
+    again = feed_root(spark, sf_dir, omit_atom=True)
+    year = [f"{again}/{p}" for p in folders(spark, again) if "199501" <= p <= "199512"]
+    if year:
+        write_entries(_entries_from_root(spark, again, year), out)
     t = read_entries(spark, out)
     return t.groupBy("period").agg(F.count("*").alias("n_entries"), F.count("id").alias("n_with_id"))
 
@@ -299,6 +304,62 @@ def ingest_run(spark, sf_dir):
     return read_entries(spark, out).groupBy("procurement_type", "period").agg(F.count("*").alias("n_entries"))
 
 
+RUN_COUNTS = ["selected", "found", "missing", "missing_periods", "done", "processed", "skipped", "entries", "malformed"]
+
+
+def ingest_archives(spark, sf_dir):
+    """The whole job from ZIP archives: same selection and result as ``ingest_run``."""
+    from tenderlake.plans.ingest import IngestOptions, ingest
+
+    out = scratch_path(spark, "table")
+    ingest(spark, period_links(spark, sf_dir), IngestOptions(
+        input_path=feed_root(spark, sf_dir, archive=True), output_path=out, procurement_type="pt",
+        start="1995", end="199612", compact=True, input="archives"))
+    return read_entries(spark, out).groupBy("procurement_type", "period").agg(F.count("*").alias("n_entries"))
+
+
+def ingest_metrics(spark, sf_dir):
+    """The counts that the job reports (A8, J4): a first run over 1995, a second one up to 199612 that skips it."""
+    from tenderlake.plans.ingest import IngestOptions, ingest
+
+    out, links = scratch_path(spark, "table"), period_links(spark, sf_dir)
+    opts = IngestOptions(input_path=feed_root(spark, sf_dir), output_path=out, start="1995", end="199512", mode="PERMISSIVE")
+    first = ingest(spark, links, opts).select(F.lit(1).alias("run"), *RUN_COUNTS)
+    opts.end, opts.overwrite = "199612", False
+    return first.unionByName(ingest(spark, links, opts).select(F.lit(2).alias("run"), *RUN_COUNTS))
+
+
+def files_and_bytes(spark, sf_dir):
+    """A6 + A9: one text file per order month and status is written; files and bytes per month, and of the whole folder."""
+    root = scratch_path(spark, "files")
+    o = _t(spark, sf_dir, "orders").select(_month("o_orderdate").alias("period"), "o_orderstatus", F.col("o_orderkey").cast("string").alias("value"))
+    o.repartition("period", "o_orderstatus").write.partitionBy("period", "o_orderstatus").text(root)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
+    per = MT.files_by_period(listing.withColumn("period", F.regexp_extract("path", "/period=([^/]+)/", 1)))
+    return per.unionByName(MT.directory_size(spark, root).select(F.lit("all").alias("period"), F.col("files").alias("n_files"), "bytes"))
+
+
+def empty_result(spark, sf_dir):
+    """K5: a run that keeps no entry has all columns of the table and no row."""
+    none = _entries_from_root(spark, feed_root(spark, sf_dir)).where("id is null and title is null").drop("period", "procurement_type")
+    both = none.unionByName(empty_entries(spark))
+    return both.agg(F.count("*").alias("n_entries"), F.lit(", ".join(both.columns)).alias("column_names"))
+
+
+def range_reasons(spark, sf_dir):
+    """pairs of bounds from order months, years and priorities, with the reason why they are no range."""
+    o = _t(spark, sf_dir, "orders").select(_month("o_orderdate").alias("m"), F.date_format("o_orderdate", "yyyy").alias("y"), F.substring("o_orderpriority", 1, 3).alias("p"))
+    pairs = o.select(F.explode(F.array(*[F.struct(F.col(a).alias("start"), F.col(b).alias("end")) for a, b in (("m", "y"), ("y", "m"), ("m", "p"))])).alias("r"))
+    return pairs.select("r.*").distinct().withColumn("reason", P.range_reason(F.col("start"), F.col("end")))
+
+
+def period_errors(spark, sf_dir):
+    """A10: per order month, the messages of its archives (one per status; one with an odd number of orders fails)."""
+    items = _t(spark, sf_dir, "orders").groupBy(_month("o_orderdate").alias("period"), "o_orderstatus").agg(F.count("*").alias("n"))
+    error = F.when(F.col("n") % 2 == 1, F.concat(F.lit("archive "), "o_orderstatus", F.lit(": "), F.col("n").cast("string"), F.lit(" orders")))
+    return MT.joined_errors(items.select("period", error.alias("error")), "period")
+
+
 def stream_by_period(spark, sf_dir):
     """The feed scan as a streaming query (available-now trigger, file sink); rows per period."""
     from tenderlake.streaming.feed_stream import start_stream
@@ -314,11 +375,11 @@ def stream_by_period(spark, sf_dir):
 
 def run_metrics(spark, sf_dir):
     """Per language, documents as processed items (bytes = characters,
-    seconds = characters / 50,000, skipped below 100 characters, an error below 10)."""
+    seconds = characters / 50,000, skipped, with an error, below 100 characters)."""
     d = _t(spark, sf_dir, "documents")
     items = d.select("lang", F.col("n_chars").alias("bytes"), F.floor(F.col("n_chars") / 50000).alias("seconds"),
                      "doc_id")
-    err = F.when(F.col("bytes") < 10, F.concat(F.lit("doc "), F.col("doc_id").cast("string"), F.lit(": too short")))
+    err = F.when(F.col("bytes") < 100, F.concat(F.lit("doc "), F.col("doc_id").cast("string"), F.lit(": too short")))
     return MT.summarize(items, "lang", skipped=F.col("bytes") < 100, error=err)
 
 
@@ -351,6 +412,12 @@ def queries() -> dict:
         "period_overwrite": period_overwrite,
         "run_metrics": run_metrics,
         "ingest_run": ingest_run,
+        "ingest_archives": ingest_archives,
+        "ingest_metrics": ingest_metrics,
+        "files_and_bytes": files_and_bytes,
+        "empty_result": empty_result,
+        "range_reasons": range_reasons,
+        "period_errors": period_errors,
         "stream_by_period": stream_by_period,
     }
 
@@ -365,12 +432,12 @@ _VALID = "regexp_full_match(period, '[0-9]{4}|[0-9]{6}')"
 _ORDER_COUNTS = "SELECT strftime(o_orderdate, '%Y%m') AS period, count(*) AS n_entries FROM orders GROUP BY 1"
 
 
-def _ship(where: str) -> str:
-    return f"(SELECT DISTINCT strftime(l_shipdate, '%Y%m') AS period FROM lineitem WHERE {where})"
+def _ship(gap: int) -> str:
+    return f"(SELECT DISTINCT strftime(l_shipdate, '%Y%m') AS period FROM lineitem WHERE CAST(strftime(l_shipdate, '%Y%m') AS INT) % {gap} <> 0)"
 
 
-_RETURNED = _ship(DONE_LINES)
-_OPEN = _ship(ARCHIVED_LINES)
+_RETURNED = _ship(DONE_GAP)
+_OPEN = _ship(ARCHIVED_GAP)
 
 
 def oracles() -> dict[str, str]:
@@ -467,7 +534,7 @@ FROM orders LEFT JOIN n ON o_orderkey = l_orderkey GROUP BY 1""",
 SELECT strftime(o_orderdate, '%Y%m') AS period, count(*) AS n_entries, CAST(coalesce(sum(c), 0) AS BIGINT) AS n_lots
 FROM orders LEFT JOIN n ON o_orderkey = l_orderkey GROUP BY 1""",
         "batch_union": f"SELECT 'public-tenders' AS procurement_type, period, n_entries FROM ({_ORDER_COUNTS})",
-        "compact_counts": f"SELECT period, n_entries, CAST(1 AS BIGINT) AS n_files FROM ({_ORDER_COUNTS})",
+        "compact_counts": f"SELECT period, n_entries, true AS compacted FROM ({_ORDER_COUNTS})",
         "period_overwrite": """SELECT strftime(o_orderdate, '%Y%m') AS period,
        count(*) FILTER (WHERE strftime(o_orderdate, '%Y') <> '1995' OR NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P')) AS n_entries,
        count(*) FILTER (WHERE strftime(o_orderdate, '%Y') <> '1995' OR o_orderpriority <> '5-LOW') AS n_with_id
@@ -483,14 +550,39 @@ FROM orders LEFT JOIN per_order ON o_orderkey = l_orderkey GROUP BY 1""",
         "run_metrics": """WITH g AS (
   SELECT lang, count(*) FILTER (WHERE n_chars >= 100) AS processed, count(*) FILTER (WHERE n_chars < 100) AS skipped,
          sum(n_chars) AS total_bytes, sum(floor(n_chars / 50000)) AS seconds,
-         count(*) FILTER (WHERE n_chars < 10) AS n_errors,
-         string_agg(CASE WHEN n_chars < 10 THEN 'doc ' || CAST(doc_id AS VARCHAR) || ': too short' END, '; '
-                    ORDER BY CASE WHEN n_chars < 10 THEN 'doc ' || CAST(doc_id AS VARCHAR) || ': too short' END) AS errors
+         count(*) FILTER (WHERE n_chars < 100) AS n_errors,
+         min(CASE WHEN n_chars < 100 THEN 'doc ' || CAST(doc_id AS VARCHAR) || ': too short' END) AS first_error
   FROM documents GROUP BY lang)
 SELECT lang, processed, skipped, CAST(total_bytes AS BIGINT) AS total_bytes,
        round(total_bytes / 1048576.0 * 100) / 100 AS size_mb,
        format('{:02d}:{:02d}:{:02d}', CAST(seconds // 3600 AS BIGINT), CAST((seconds % 3600) // 60 AS BIGINT), CAST(seconds % 60 AS BIGINT)) AS elapsed,
        round(CASE WHEN seconds > 0 THEN total_bytes / 1048576.0 / seconds ELSE total_bytes / 1048576.0 END * 100) / 100 AS throughput_mb_s,
-       n_errors, CASE WHEN n_errors > 0 THEN errors END AS errors
+       n_errors, first_error
 FROM g""",
+        "ingest_archives": """SELECT 'public-tenders' AS procurement_type, strftime(o_orderdate, '%Y%m') AS period, count(*) AS n_entries
+FROM orders WHERE strftime(o_orderdate, '%Y%m') BETWEEN '1995' AND '199612' GROUP BY 2""",
+        "ingest_metrics": f"""WITH l AS (SELECT DISTINCT period FROM {_LINKS}),
+m AS (SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS period FROM orders),
+r AS (SELECT 1 AS run, '199512' AS last, 0 AS skip UNION ALL SELECT 2, '199612', 1),
+s AS (SELECT run, period, period IN (SELECT period FROM m) AS there, skip = 1 AND period <= '199512' AS old
+      FROM r JOIN l ON period >= '1995' AND period <= last)
+SELECT run, count(*) AS selected, count(*) FILTER (WHERE there) AS found, count(*) FILTER (WHERE NOT there) AS missing,
+       string_agg(CASE WHEN NOT there THEN period END, ', ' ORDER BY period) AS missing_periods,
+       count(*) FILTER (WHERE there AND old) AS done, count(*) FILTER (WHERE there AND NOT old) AS processed, CAST(0 AS BIGINT) AS skipped,
+       CAST((SELECT count(*) FROM orders WHERE strftime(o_orderdate, '%Y%m') IN
+             (SELECT period FROM s AS t WHERE t.run = s.run AND there AND NOT old)) AS BIGINT) AS entries,
+       CAST(0 AS BIGINT) AS malformed
+FROM s GROUP BY run""",
+        "files_and_bytes": """WITH f AS (SELECT strftime(o_orderdate, '%Y%m') AS period, o_orderstatus, length(CAST(o_orderkey AS VARCHAR)) + 1 AS b FROM orders)
+SELECT period, count(DISTINCT o_orderstatus) AS n_files, CAST(sum(b) AS BIGINT) AS bytes FROM f GROUP BY period
+UNION ALL SELECT 'all', count(DISTINCT period || o_orderstatus), CAST(sum(b) AS BIGINT) FROM f""",
+        "empty_result": """SELECT count(*) FILTER (WHERE o_orderkey IS NULL) AS n_entries,
+       'id, title, link, summary, updated, status, contract_id, contracting_party, project, project_lots, tender_results, terms_funding_program, process' AS column_names
+FROM orders""",
+        "range_reasons": """WITH o AS (SELECT strftime(o_orderdate, '%Y%m') AS m, strftime(o_orderdate, '%Y') AS y, substr(o_orderpriority, 1, 3) AS p FROM orders),
+r AS (SELECT m AS "start", y AS "end" FROM o UNION SELECT y, m FROM o UNION SELECT m, p FROM o)
+SELECT "start", "end", CASE WHEN NOT regexp_full_match("end", '[0-9]+') THEN 'non_digit' WHEN "start" > "end" THEN 'reversed' END AS reason FROM r""",
+        "period_errors": """WITH a AS (SELECT strftime(o_orderdate, '%Y%m') AS period, o_orderstatus AS s, count(*) AS n FROM orders GROUP BY ALL)
+SELECT period, string_agg('archive ' || s || ': ' || CAST(n AS VARCHAR) || ' orders', '; ' ORDER BY s) AS errors
+FROM a WHERE n % 2 = 1 GROUP BY period""",
     }
