@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenderlake.llm.common import by_value, written
+from tenderlake.llm.common import by_value, per_worker, written
 
 #: Fixed values of the public vocabulary: how it splits a text, and its special token.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -48,13 +47,15 @@ _FACTOR = 0x9E3779B97F4A7C15
 _SYNC = re.compile(rb"(?<=[!-~])[ \n]")
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str):
     """The encoding of a rank file, one for each worker process."""
     import tiktoken
 
-    ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, Path(path).read_bytes().splitlines())}
-    return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=SPECIAL)
+    def load():
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, Path(path).read_bytes().splitlines())}
+        return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=SPECIAL)
+
+    return per_worker("vocabulary", path, load)
 
 
 def cuts(data: bytes) -> list[int]:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 from types import ModuleType
+from typing import Any
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,17 @@ def by_value(module_name: str) -> None:
         cloudpickle.register_pickle_by_value(module)
 
 
+def per_worker(slot: str, key, make: Callable[[], Any]) -> Any:
+    """``make()`` once for each Python worker process; a slot keeps the value of the last key only.
+
+    Code that travels with the tasks is unpickled anew for each, so a cache in this module would be too.
+    """
+    held = sys.modules.setdefault("_tenderlake_worker", ModuleType("_tenderlake_worker")).__dict__
+    if slot not in held or held[slot][0] != key:
+        held[slot] = (key, make())
+    return held[slot][1]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

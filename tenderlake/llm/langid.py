@@ -15,14 +15,13 @@ Edge cases: a text that is null or holds no letter is ``und`` with score 0; with
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import by_value
+from tenderlake.llm.common import by_value, per_worker
 
 SIZE = 400
 SAMPLE = 4000
@@ -33,9 +32,9 @@ _BITS = np.uint64(21)
 _BLANK = 32
 
 
-@lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+    """Whether each code point is a letter."""
+    return per_worker("letters", None, lambda: np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000))
 
 
 def grams(text: str | None) -> np.ndarray:

@@ -20,6 +20,7 @@ matter.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import bounded_sample, by_value
+from tenderlake.llm.common import bounded_sample, by_value, per_worker
 
 SAMPLE = 40_000
 LEAST_DOCUMENTS = 5
@@ -106,13 +107,17 @@ def automaton_matches(node: dict, word: str) -> Iterator[tuple[str, int]]:
 
 @dataclass
 class Lexicon:
+    """The terms' weights; the tries are built once in each worker process, not sent with every task."""
+
     weights: dict[str, float]
-    forward: Trie = field(init=False)
-    backward: Trie = field(init=False)
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+    def tries(self) -> tuple[Trie, Trie]:
+        return per_worker("tries", self.name, lambda: (Trie(sorted(self.weights), False), Trie(sorted(self.weights), True)))
 
-    def __post_init__(self) -> None:
-        terms = sorted(self.weights)
-        self.forward, self.backward = Trie(terms, False), Trie(terms, True)
+    def cache(self) -> dict:
+        """Words matched so far by this process."""
+        return per_worker("words", self.name, dict)
 
     def match(self, word: str) -> tuple[float, int] | None:
         """Weight and edits of the closest term (of the heaviest, at a tie)."""
@@ -123,7 +128,8 @@ class Lexicon:
             return None
         half = len(word) // 2
         found = []
-        for trie, fixed, rest in ((self.forward, word[:half], word[half:]), (self.backward, word[half:][::-1], word[:half][::-1])):
+        forward, backward = self.tries()
+        for trie, fixed, rest in ((forward, word[:half], word[half:]), (backward, word[half:][::-1], word[:half][::-1])):
             node = trie.descend(fixed)
             if node is not None:
                 found += [(self.weights[t], e) for t, e in automaton_matches(node, rest) if len(t) >= FUZZY]
@@ -217,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     lexicon = learn_lexicon(rows.where(first).select("label", "text"))
 
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
+        cache = lexicon.cache()
         for batch in batches:
             yield pd.DataFrame({"label": batch["label"], "x": [evidence(t, lexicon, cache).tolist() for t in batch["text"]]})
 
@@ -234,7 +240,7 @@ def score(text: Column, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cache: dict = {}
+        cache = model.lexicon.cache()
         for batch in texts:
             yield pd.Series(model.scores(np.stack([evidence(t, model.lexicon, cache) for t in batch])) if len(batch) else [], dtype="float64")
 
