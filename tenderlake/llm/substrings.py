@@ -38,16 +38,18 @@ _CACHE = 500_000
 WHOLE, CHECK, SHOW = 0, 1, 2
 
 
-def word_hashes(words: list[bytes], cache: dict[bytes, int]) -> np.ndarray:
-    out = np.empty(len(words), dtype=np.uint64)
-    for i, w in enumerate(words):
-        h = cache.get(w)
-        if h is None:
-            if len(cache) >= _CACHE:
-                cache.clear()
-            h = cache[w] = xxhash.xxh3_64_intdigest(w)
-        out[i] = h
-    return out
+class WordHashes(dict):
+    """Hash by word, computed when a word is first asked for; forgets all when it has grown too large."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _CACHE:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+def word_hashes(words: list[bytes], cache: WordHashes) -> np.ndarray:
+    return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def prefix_hashes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +85,7 @@ def anchors(hashes: np.ndarray, window: int, kmer: int) -> tuple[np.ndarray, np.
     return kmers, place
 
 
-def paths(words: list[bytes], cache: dict[bytes, int], window: int = WINDOW, kmer: int = KMER) -> tuple[np.ndarray, ...]:
+def paths(words: list[bytes], cache: WordHashes, window: int = WINDOW, kmer: int = KMER) -> tuple[np.ndarray, ...]:
     """(first window, number of windows, anchor, label) of each path of a document."""
     if len(words) < window:
         none = np.empty(0, dtype=np.int64)
@@ -99,7 +101,7 @@ def paths(words: list[bytes], cache: dict[bytes, int], window: int = WINDOW, kme
     return start, count, kmers[place[start]].astype(np.int64), label.astype(np.int64)
 
 
-def windows(words: list[bytes], cache: dict[bytes, int], window: int = WINDOW) -> np.ndarray:
+def windows(words: list[bytes], cache: WordHashes, window: int = WINDOW) -> np.ndarray:
     sums, inverse = prefix_hashes(word_hashes(words, cache))
     at = np.arange(len(words) - window + 1)
     return _mixed((sums[at + window] - sums[at]) * inverse[at]).astype(np.int64)
@@ -117,7 +119,7 @@ def _keys(text: Column) -> list[Column]:
 
 def _paths_of(window: int, kmer: int, coordinates: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[bytes, int] = {}
+        cache = WordHashes()
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.iloc[at : at + 512]
@@ -145,7 +147,7 @@ _RESULT = "doc_id {id}, n_words long, spans array<array<int>>, kept_sha256 strin
 
 def _first_pass(window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[bytes, int] = {}
+        cache = WordHashes()
         for batch in batches:
             rows = []
             for doc_id, k1, k2, text, start, count, kind, anchor, label in batch.itertuples(index=False, name=None):
