@@ -33,17 +33,27 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
 
 
-def seeds(w: Column, masks: tuple[str, ...] = MASKS) -> Column:
-    """(position, span, hash) of every mask at every place of a words column."""
-    none = F.array().cast("array<struct<at:int,span:int,h:bigint>>")
+def hashed(w: Column) -> Column:
+    """The words' hashes: combining these is cheaper than hashing the words under every mask."""
+    return F.transform(w, lambda x: F.xxhash64(x))
 
-    def slid(k: int, mask: str) -> Column:
-        ones = [j for j, c in enumerate(mask) if c == "1"]
-        last = F.size(w) - len(mask)
-        at = lambda i: F.struct(i.alias("at"), F.lit(len(mask)).alias("span"), F.xxhash64(F.lit(k), *[w[i + j] for j in ones]).alias("h"))
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), at)).otherwise(none)
 
-    return F.concat(*[slid(k, mask) for k, mask in enumerate(masks)])
+def seeded(rows: DataFrame, hashes: str, masks: tuple[str, ...] = MASKS) -> DataFrame:
+    """``rows`` once for every place and mask: ``at``, ``span`` and ``h``, the hash of the words at the mask's ones.
+
+    ``hashes`` names a column of word hashes. Places come from a generator and the hashes from plain expressions over
+    it, so that all of it is generated code; inside lambda functions the same takes several times as long. The outer
+    forms are used since Spark would test the others' arrays for being empty beforehand, by computing them twice.
+    """
+    n = F.size(hashes)
+    places = rows.select("*", F.explode_outer(F.when(n > 0, F.sequence(F.lit(0), n - 1))).alias("at"))
+    each = []
+    for k, mask in enumerate(masks):
+        ones = [F.col(hashes)[F.col("at") + j] for j, c in enumerate(mask) if c == "1"]
+        each.append(F.when(F.col("at") + len(mask) <= n, F.xxhash64(F.lit(k), *ones)))
+    out = places.select("*", F.posexplode_outer(F.array(*each)).alias("mask", "h")).where(F.col("h").isNotNull())
+    span = reduce(lambda c, k: c.when(F.col("mask") == k, len(masks[k])), range(1, len(masks)), F.when(F.col("mask") == 0, len(masks[0])))
+    return out.withColumn("span", span).drop("mask", hashes)
 
 
 def _equal_stretch(overlap: int, similar: float) -> Column:
@@ -63,16 +73,14 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", masks: tuple[s
     known = items.select("item_id", tokens(F.col("text")).alias("item_w")).withColumn("item_key", F.xxhash64("item_w"))
     size = known.agg(F.sum(F.size("item_w")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size * len(masks) // block))
-    read = docs.select(F.col(key).alias("key"), tokens(F.col("text")).alias("doc_w")).withColumn("s", seeds(F.col("doc_w"), masks))
+    read = docs.select(F.col(key).alias("key"), tokens(F.col("text")).alias("doc_w")).withColumn("hashes", hashed(F.col("doc_w")))
     found = []
     for k in range(blocks):
         part = known.where(F.pmod(F.xxhash64("item_key"), F.lit(blocks)) == k)
         texts = part.select("item_key", "item_w").distinct()
-        # the outer form, since Spark would test the other for an empty array before it, by computing the array twice
-        theirs = texts.withColumn("s", seeds(F.col("item_w"), masks)).select("item_key", F.explode_outer("s").alias("s"))
-        theirs = theirs.select("item_key", F.col("s.at").alias("item_at"), F.col("s.h").alias("h"))
-        # exploded from a column, so that all up to the check runs in one generated stage without copying the words
-        ours = read.select("key", "doc_w", F.explode_outer("s").alias("s")).select("key", "doc_w", F.col("s.at").alias("doc_at"), F.col("s.span").alias("span"), F.col("s.h").alias("h"))
+        theirs = seeded(texts.select("item_key", hashed(F.col("item_w")).alias("hashes")), "hashes", masks).select("item_key", F.col("at").alias("item_at"), "h")
+        # all up to the check is one generated stage, in which a document's words are not copied
+        ours = seeded(read, "hashes", masks).withColumnRenamed("at", "doc_at")
         hits = ours.join(F.broadcast(theirs), "h").join(F.broadcast(texts), "item_key")
         lag = F.col("doc_at") - F.col("item_at")
         equal = F.aggregate(
