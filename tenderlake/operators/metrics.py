@@ -58,7 +58,10 @@ def joined_errors(items: DataFrame, group: str, error_col: str = "error") -> Dat
 
 
 def directory_size(spark, path: str) -> DataFrame:
-    """``(files, bytes)`` of everything below ``path``, any depth, from file metadata only."""
+    """``(files, bytes)`` of everything below ``path``, any depth, from file metadata only.
+
+    Files without content are not listed by the source, so they do not count among ``files``.
+    """
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .load(path).select("length"))
     return listing.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))

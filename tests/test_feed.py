@@ -1,4 +1,4 @@
-"""Feed entries: cases of the reference's parser tests plus the untested corners."""
+"""Feed entries: parsing, repeat rules, blocks and lists, and their corners."""
 
 import pytest
 
@@ -55,20 +55,20 @@ def test_cdata_and_entities(spark):
 
 BLOCK = """<entry><id>e1</id><title>t</title>
 <cac-place-ext:ContractFolderStatus>
- <cbc:ContractFolderID>ID-42</cbc:ContractFolderID>
+ <cbc:ContractFolderID>EXP/7</cbc:ContractFolderID>
  <cbc-place-ext:ContractFolderStatusCode listURI="L">200</cbc-place-ext:ContractFolderStatusCode>
  <cac:ProcurementProject>
-  <cac:RealizedLocation><cac:Country><cbc:Name>Spain</cbc:Name><cbc:IdentificationCode listURI="C">ES</cbc:IdentificationCode></cac:Country></cac:RealizedLocation>
-  <cbc:Name/><cbc:Name>Project Alpha</cbc:Name><cbc:Name>Second</cbc:Name>
+  <cac:RealizedLocation><cac:Country><cbc:Name>Norge</cbc:Name><cbc:IdentificationCode listURI="C">NO</cbc:IdentificationCode></cac:Country></cac:RealizedLocation>
+  <cbc:Name/><cbc:Name>Harbour wall</cbc:Name><cbc:Name>Sea wall</cbc:Name>
   <cac:BudgetAmount><cbc:TotalAmount currencyID="EUR">10</cbc:TotalAmount><cbc:TotalAmount>20</cbc:TotalAmount></cac:BudgetAmount>
  </cac:ProcurementProject>
  <cac:ProcurementProjectLot>
-  <cbc:ID schemeName="ID_LOTE">LOT-1</cbc:ID><cbc:ID schemeName="OTHER">X</cbc:ID><cbc:Name>First Lot</cbc:Name>
-  <cac:RequiredCommodityClassification><cbc:ItemClassificationCode>CPV-A1</cbc:ItemClassificationCode><cbc:ItemClassificationCode>CPV-A2</cbc:ItemClassificationCode></cac:RequiredCommodityClassification>
+  <cbc:ID schemeName="ID_LOTE">N1</cbc:ID><cbc:ID schemeName="OTHER">X</cbc:ID><cbc:Name>North quay</cbc:Name>
+  <cac:RequiredCommodityClassification><cbc:ItemClassificationCode>45.1</cbc:ItemClassificationCode><cbc:ItemClassificationCode>45.2</cbc:ItemClassificationCode></cac:RequiredCommodityClassification>
  </cac:ProcurementProjectLot>
  <cac:ProcurementProjectLot>
-  <cbc:ID schemeName="ID_LOTE">LOT-2</cbc:ID>
-  <cac:RequiredCommodityClassification><cbc:ItemClassificationCode>CPV-B1</cbc:ItemClassificationCode></cac:RequiredCommodityClassification>
+  <cbc:ID schemeName="ID_LOTE">N2</cbc:ID>
+  <cac:RequiredCommodityClassification><cbc:ItemClassificationCode>71</cbc:ItemClassificationCode></cac:RequiredCommodityClassification>
  </cac:ProcurementProjectLot>
  <cac:TenderResult><cbc:ResultCode>8</cbc:ResultCode>
   <cac:AwardedTenderedProject><cbc:ProcurementProjectLotID>1</cbc:ProcurementProjectLotID><cbc:ProcurementProjectLotID></cbc:ProcurementProjectLotID><cbc:ProcurementProjectLotID>2</cbc:ProcurementProjectLotID>
@@ -80,17 +80,17 @@ BLOCK = """<entry><id>e1</id><title>t</title>
 
 def test_contract_block(spark):
     r = one(spark, feed(BLOCK), keep_raw_xml=True)
-    assert r.contract_id == "ID-42"
+    assert r.contract_id == "EXP/7"
     assert (r.status.code, r.status.list_uri) == ("200", "L")
-    assert r.project.name == "Project Alpha"
-    assert (r.project.country_code, r.project.country_code_list_uri) == ("ES", "C")
+    assert r.project.name == "Harbour wall"
+    assert (r.project.country_code, r.project.country_code_list_uri) == ("NO", "C")
     assert (r.project.total_amount, r.project.total_currency) == ("10_20", "EUR")
     assert [(l.id, l.name, l.cpv_code) for l in r.project_lots] == [
-        ("LOT-1", "First Lot", "CPV-A1_CPV-A2"), ("LOT-2", None, "CPV-B1")]
+        ("N1", "North quay", "45.1_45.2"), ("N2", None, "71")]
     res = [(t.result_id, t.result_lot_id, t.result_code, t.result_payable_amount) for t in r.tender_results]
     assert res == [("1", "1", "8", "5"), ("1", "2", "8", "5"), ("2", "0", "9", None), ("3", "7", None, None)]
     assert r.cfs_raw_xml.startswith("<cac-place-ext:ContractFolderStatus>")
-    assert "<cbc:Name>Project Alpha</cbc:Name>" in r.cfs_raw_xml
+    assert "<cbc:Name>Harbour wall</cbc:Name>" in r.cfs_raw_xml
 
 
 def test_raw_off_and_widths(spark):
@@ -141,3 +141,31 @@ def test_pruned_parse_matches_full_parse(spark):
         part = to_entries(parse_entries(texts, columns=["id", col]), columns=["id", col]).select("id", col).collect()
         got = {d["id"]: d[col] for d in (x.asDict(recursive=True) for x in part)}
         assert got == {k: v[col] for k, v in full.items()}, col
+
+
+def test_last_text_wins_over_empty_repeats(spark):
+    f = feed("<entry><id>9</id><id/><title>A</title><title></title><summary>x</summary><summary>y</summary></entry>",
+             "<entry><title/><title>only</title><id/></entry>")
+    rows = sorted(entries_of(spark, f).collect(), key=lambda r: str(r.id))
+    assert [(r.id, r.title, r.summary) for r in rows] == [("9", "A", "y"), (None, "only", None)]
+
+
+def test_raw_block_is_the_last_one_with_or_without_prefix(spark):
+    two = "<entry><id>a</id><p:ContractFolderStatus><c>1</c></p:ContractFolderStatus><ContractFolderStatus a='1'>2</ContractFolderStatus></entry>"
+    assert one(spark, feed(two), keep_raw_xml=True).cfs_raw_xml == "<ContractFolderStatus a='1'>2</ContractFolderStatus>"
+    assert one(spark, feed("<entry><id>a</id></entry>"), keep_raw_xml=True).cfs_raw_xml is None
+
+
+def test_lot_ids_right_below_a_result(spark):
+    f = feed("<entry><id>a</id><x:ContractFolderStatus><x:TenderResult><c:ProcurementProjectLotID>4</c:ProcurementProjectLotID>"
+             "</x:TenderResult></x:ContractFolderStatus></entry>")
+    assert [(t.result_id, t.result_lot_id) for t in one(spark, f).tender_results] == [("1", "4")]
+
+
+def test_columns_not_parsed_are_not_returned(spark):
+    from tenderlake.operators.entries import to_entries
+    from tenderlake.sources.xml_feed import parse_entries, split_entries
+
+    texts = split_entries(spark.createDataFrame([(p,) for p in feed(BLOCK).split("<entry")], "value string"))
+    part = to_entries(parse_entries(texts, columns=["contract_id"]), columns=["contract_id"])
+    assert part.columns == ["id", "title", "link", "summary", "updated", "contract_id"]

@@ -4,12 +4,13 @@ import io
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tenderlake.operators.entries import to_entries
 from tenderlake.sinks.table import read_entries, table_files, write_entries
 from tenderlake.sources.archives import read_archive_entries
-from tenderlake.sources.xml_feed import list_feed_files, parse_entries, read_entries_strict, read_entry_texts
+from tenderlake.sources.xml_feed import list_feed_files, malformed, parse_entries, read_entries_strict, read_entry_texts
 
 FEED = ('<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom" xmlns:x="urn:x" xmlns:cbc="urn:c">'
         '<title>f</title>{}</feed>')
@@ -68,6 +69,50 @@ def test_archives(spark, tmp_root):
     assert sorted((r.period, r.member) for r in rows) == [("202401", "dir/feed.xml")] * 2
 
 
+CUT = FEED.format(entry(1) + entry(2)).split("<title>t2")[0]
+
+
+def test_roots_however_they_are_spelled(spark, tmp_root, monkeypatch):
+    root = f"{tmp_root}/my root"
+    write(f"{root}/202301/a.xml", FEED.format(entry(1)))
+    write(f"{root}/2023 02/b.xml", FEED.format(entry(2)))
+    for spelled in (root, f"file:{root}", f"file://{root}/", f"{tmp_root}/./my root", os.path.relpath(root)):
+        assert {r.period for r in list_feed_files(spark, spelled).collect()} == {"202301", "2023 02"}
+        assert {r.period for r in read_entry_texts(spark, spelled).collect()} == {"202301", "2023 02"}
+
+
+def test_files_elsewhere_raise(spark, tmp_root):
+    write(f"{tmp_root}/in/202301/a.xml", FEED.format(entry(1)))
+    write(f"{tmp_root}/other/202301/a.xml", FEED.format(entry(1)))
+    with pytest.raises(Exception, match="not below"):
+        read_entry_texts(spark, f"{tmp_root}/in", [f"{tmp_root}/other/202301"]).collect()
+
+
+def test_truncated_file_is_malformed_in_every_scan(spark, tmp_root):
+    write(f"{tmp_root}/in/202301/a.xml", CUT)
+    with zipfile.ZipFile(f"{tmp_root}/202301.zip", "w") as zf:
+        zf.writestr("a.xml", CUT)
+    texts = [read_entry_texts(spark, f"{tmp_root}/in"), read_archive_entries(spark, tmp_root)]
+    for t in texts:
+        parsed = parse_entries(t, mode="PERMISSIVE")
+        assert sorted(r.bad for r in parsed.select(malformed(parsed.e).alias("bad")).collect()) == [False, True]
+        with pytest.raises(Exception, match="(?i)malformed"):
+            parse_entries(t).collect()
+    strict = read_entries_strict(spark, f"{tmp_root}/in", mode="PERMISSIVE")
+    assert any(r.e["_corrupt_record"] for r in strict.collect())
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_entries_strict(spark, f"{tmp_root}/in").collect()
+
+
+def test_archives_by_member_and_period(spark, tmp_root):
+    for period in ("202401", "202402"):
+        with zipfile.ZipFile(f"{tmp_root}/{period}.zip", "w") as zf:
+            for k in range(3):
+                zf.writestr(f"part {k}.xml", FEED.format(entry(k)))
+    df = read_archive_entries(spark, tmp_root, periods=["202402"])
+    assert sorted((r.period, r.member) for r in df.collect()) == [("202402", f"part {k}.xml") for k in range(3)]
+
+
 def test_sink_overwrite_and_compaction(spark, tmp_root):
     tree(tmp_root)
     e = to_entries(parse_entries(read_entry_texts(spark, tmp_root)), keep=["period"]).withColumn(
@@ -87,13 +132,10 @@ def test_sink_overwrite_and_compaction(spark, tmp_root):
 def test_directory_size(spark, tmp_root):
     from tenderlake.operators.metrics import directory_size
 
-    os.makedirs(f"{tmp_root}/dir/nested", exist_ok=True)
-    with open(f"{tmp_root}/dir/file1.txt", "wb") as fh:
-        fh.write(b"\0" * 10)
-    with open(f"{tmp_root}/dir/nested/file2.txt", "wb") as fh:
-        fh.write(b"\0" * 20)
-    r = directory_size(spark, f"{tmp_root}/dir").first()
-    assert (r.files, r.bytes) == (2, 30)
+    for name, text in (("y2020/one.bin", "abc"), ("y2020/q1/two.bin", "defgh"), ("three.bin", "i"), ("empty.bin", "")):
+        write(f"{tmp_root}/store/{name}", text)
+    r = directory_size(spark, f"{tmp_root}/store").first()
+    assert (r.files, r.bytes) == (3, 9)  # files without content are not listed
 
 
 def test_compaction_splits_a_hot_period(spark, tmp_root):
