@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.plans.fixtures import feed_entries
 from tenderlake.session import ensure_checkpoint_dir, scratch_path
-from tenderlake.sources.fsio import fs_and_path
+from tenderlake.sources.fsio import folders, fs_and_path
 
 FEED_HEAD = ('<?xml version="1.0" encoding="UTF-8"?>\n'
              '<feed xmlns="http://www.w3.org/2005/Atom" '
@@ -100,7 +100,7 @@ def write_feed(texts: DataFrame, root: str, archive: bool = False) -> DataFrame:
 def feed_root(spark: SparkSession, sf_dir: str, omit_atom: bool = False, archive: bool = False) -> str:
     """Feed files of ``sf_dir`` written once per session and checkpoint folder; returns the root."""
     key = (sf_dir, omit_atom, archive, ensure_checkpoint_dir(spark), spark.sparkContext.applicationId)
-    if key not in _MEMO:
+    if key not in _MEMO or not folders(spark, _MEMO[key]):   # may have been cleared meanwhile
         root = scratch_path(spark, "feed-zip" if archive else "feed")
         write_feed(feed_entries(spark, sf_dir, omit_atom=omit_atom), root, archive).count()
         _MEMO[key] = root

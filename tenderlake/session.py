@@ -65,3 +65,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for written intermediate tables, inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables that this session's jobs have written; no result may still read them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/tables")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
