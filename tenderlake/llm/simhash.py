@@ -228,9 +228,10 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, radiu
     # the winner of each fingerprint, then of each group: by doc_id and the hash of the whole row
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col(row).alias("row"), F.col(fp).alias("fp"))
     best = rows.groupBy(fp).agg(F.min(rank).alias("w")).join(roots, fp, "left").groupBy(F.coalesce(root, fp).alias("group")).agg(F.min("w").alias("w"))
-    # joined by fingerprint and row, so that a large group's rows spread; equal rows remain, of which one stays
+    # joined by fingerprint and row, so that a large group's rows spread; a group has one such pair, and of rows equal
+    # in every column one stays
     kept = rows.join(best.select(F.col("w.fp").alias(fp), F.col("w.row").alias(row)), [fp, row])
-    return kept.dropDuplicates([fp]).select(*docs.columns)
+    return kept.dropDuplicates([fp, row]).select(*docs.columns)
 
 
 by_value(__name__)
