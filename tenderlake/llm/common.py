@@ -46,6 +46,20 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a written table up to which it may be broadcast to a join.
+SMALL_ROWS = 250_000
+
+
+def few(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
+    """Whether a written table has at most ``rows`` rows."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A written table with a broadcast hint if it has few rows; else as it is, for an ordinary join."""
+    return F.broadcast(df) if few(df, rows) else df
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have (names compare without case, as Spark does)."""
     taken = {c.lower() for c in df.columns}

@@ -18,10 +18,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import fresh, text_key
+from tenderlake.llm.common import fresh, small, text_key, written
 
 MASKS = ("11011011", "1011010011", "111001001011")
 OVERLAP = 13
@@ -96,9 +96,13 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", masks: tuple[s
     return out.select(F.col("key").alias(key), "item_id", "hits", "equal_words", "item_words", "start_word")
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose text leaks no item, columns unchanged; decided by the text, so doc_id does not matter."""
+def drop_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose text leaks no item, columns unchanged; decided by the text, so doc_id does not matter.
+
+    The leaking texts' keys are written first; while they are few, the rows need not be shuffled to be told from them.
+    """
     name = fresh(docs, "leak_key")
     keyed = docs.withColumn(name, text_key(F.col("text")))
     found = leaks(keyed.select(name, "text"), items, key=name, **options)
-    return keyed.join(found.select(name).distinct(), name, "left_anti").select(*docs.columns)
+    keys = written(spark, found.select(name).distinct(), "leaking-texts")
+    return keyed.join(small(keys), name, "left_anti").select(*docs.columns)

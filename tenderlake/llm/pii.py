@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import fresh, text_key, written
+from tenderlake.llm.common import few, fresh, text_key, written
 
 KINDS = ("email", "ip", "card", "phone")
 _USER, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -219,10 +219,19 @@ def listed(spans: Column) -> Column:
 def find(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, base and spans (arrays of (k, s, e), k an index of KINDS) of every row of ``docs`` (doc_id, text)."""
     rows, added = surveyed(spark, docs)
+    return _with_added(spark, rows, added, "text_key", "added").select("doc_id", "base", merged(F.col("base"), F.col("added")).alias("spans"))
+
+
+def _with_added(spark: SparkSession, rows: DataFrame, added: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` with the added spans of their text. While few texts have any, the rows are not shuffled for them."""
+    added = written(spark, added.select(F.col("text_key").alias(key), F.col("added").alias(name)), "pii-added")
+    if few(added):
+        return rows.join(F.broadcast(added), key, "left")
     # very many copies of a text are spread over SALTS parts; only texts with added spans are repeated for them
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    added = added.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
-    return rows.join(added, ["text_key", "salt"], "left").select("doc_id", "base", merged(F.col("base"), F.col("added")).alias("spans"))
+    salt = fresh(rows, "pii_salt")
+    rows = rows.withColumn(salt, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    added = added.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.join(added, [key, salt], "left").drop(salt)
 
 
 def masked(text: Column, spans: Column) -> Column:
@@ -246,7 +255,7 @@ def mask(spark: SparkSession, docs: DataFrame) -> DataFrame:
     _, extra = surveyed(spark, docs.select("doc_id", "text"))
     t = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.withColumn(key, text_key(F.col("text"))).withColumn(base, seeds(t)).withColumn(base, _spans(F.col(base)))
-    rows = rows.join(extra.select(F.col("text_key").alias(key), F.col("added").alias(added)), key, "left").withColumn(base, merged(F.col(base), F.col(added)))
+    rows = _with_added(spark, rows, extra, key, added).withColumn(base, merged(F.col(base), F.col(added)))
     rows = rows.withColumn("text", F.when(F.size(base) > 0, masked(F.col("text"), F.col(base))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

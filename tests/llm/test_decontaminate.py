@@ -4,6 +4,7 @@ import re
 import pytest
 
 from tenderlake.llm import decontaminate as dc
+from tenderlake.llm.common import small
 
 
 def tokens(text):
@@ -57,13 +58,15 @@ def test_equals_brute_force(spark, planted, block):
     assert not any(r.doc_id >= 100 for r in got) and all(0 < r.equal_words <= r.item_words for r in got)
 
 
-def test_odd_rows(spark, planted):
+@pytest.mark.parametrize("bound", [250_000, 0])
+def test_odd_rows(spark, planted, bound, monkeypatch):
+    monkeypatch.setattr(dc, "small", lambda df: small(df, bound))  # broadcast or not
     docs, items = planted
     leak = docs[3][1]
     rows = [(None, leak, "k"), (1, leak, "k"), (1, leak, None), (2, "clean words here", "k"), (None, None, None), (5, "", "k")]
     mine = spark.createDataFrame(rows, "doc_id int, text string, leak_key string")
     theirs = spark.createDataFrame(items * 2, "item_id int, text string")
-    kept = dc.drop_leaks(mine, theirs)
+    kept = dc.drop_leaks(spark, mine, theirs)
     assert kept.columns == mine.columns and sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (2, "clean words here"), (5, "")]
     assert dc.leaks(mine.limit(0), theirs).count() == dc.leaks(mine, theirs.limit(0)).count() == 0
     assert {r.item_id for r in dc.leaks(mine, theirs).collect()} == {0}

@@ -69,7 +69,9 @@ def clinic():
     return rows
 
 
-def test_patterns_find_unseen_identifiers(spark, clinic):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_patterns_find_unseen_identifiers(spark, clinic, broadcast, monkeypatch):
+    monkeypatch.setattr(pii, "few", lambda df: broadcast)
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(clinic)], "doc_id int, text string, base string")
     got = {r.doc_id: r for r in pii.find(spark, docs).collect()}
     assert all(len(got[i].base) == len(got[i].spans) == 1 for i in range(14))
