@@ -19,11 +19,11 @@ also the first; equal rows are copies of each other; an empty table gives no row
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,31 +33,47 @@ WINDOW = 35
 KMER = 8
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_CACHE = 500_000
+_BLOCK = 1 << 20
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+_SEPARATES = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
 #: What is done with a path of a document: all of it goes, its windows are looked up, or it shows its windows to others.
 WHOLE, CHECK, SHOW = 0, 1, 2
 
 
-class WordHashes(dict):
-    """Hash by word, computed when a word is first asked for; forgets all when it has grown too large."""
+_tables = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
 
-
-def word_hashes(words: list[bytes], cache: WordHashes) -> np.ndarray:
-    return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the factor and of its inverse; kept and lengthened as needed."""
+    if len(_tables[0]) <= n:
+        for k, factor in enumerate((_FACTOR, _INVERSE)):
+            _tables[k] = np.cumprod(np.concatenate(([np.uint64(1)], np.full(2 * n, factor))), dtype=np.uint64)
+    return _tables[0][: n + 1], _tables[1][: n + 1]
 
 
 def prefix_hashes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sums, inverse powers): the hash of words a to b is (sums[b] - sums[a]) * inverse[a]."""
-    powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(hashes), _FACTOR))), dtype=np.uint64)
-    inverse = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(hashes), _INVERSE))), dtype=np.uint64)
-    sums = np.concatenate(([np.uint64(0)], np.cumsum(hashes * powers[:-1], dtype=np.uint64)))
-    return sums, inverse
+    """(sums, inverse powers): the hash of items a to b is (sums[b] - sums[a]) * inverse[a]."""
+    powers, inverse = _powers(len(hashes))
+    return np.concatenate(([np.uint64(0)], np.cumsum(hashes * powers[:-1], dtype=np.uint64))), inverse
+
+
+def _block_hashes(block: np.ndarray) -> np.ndarray:
+    apart = np.concatenate(([True], _SEPARATES[block], [True]))
+    edges = np.flatnonzero(apart[1:] != apart[:-1])
+    starts, ends = edges[0::2], edges[1::2]
+    sums, inverse = prefix_hashes(block.astype(np.uint64) + np.uint64(1))
+    return _mixed((sums[ends] - sums[starts]) * inverse[starts] + _mixed((ends - starts).astype(np.uint64)))
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A hash of each word of a text, from running hashes of its bytes; in blocks, for bounded memory."""
+    out, at = [], 0
+    while at < len(data):
+        gap = _GAP.search(data, at + _BLOCK)
+        end = gap.start() if gap else len(data)
+        out.append(_block_hashes(np.frombuffer(data, dtype=np.uint8, count=end - at, offset=at)))
+        at = end
+    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -85,12 +101,11 @@ def anchors(hashes: np.ndarray, window: int, kmer: int) -> tuple[np.ndarray, np.
     return kmers, place
 
 
-def paths(words: list[bytes], cache: WordHashes, window: int = WINDOW, kmer: int = KMER) -> tuple[np.ndarray, ...]:
-    """(first window, number of windows, anchor, label) of each path of a document."""
-    if len(words) < window:
+def paths(hashes: np.ndarray, window: int = WINDOW, kmer: int = KMER) -> tuple[np.ndarray, ...]:
+    """(first window, number of windows, anchor, label) of each path of a document's word hashes."""
+    if len(hashes) < window:
         none = np.empty(0, dtype=np.int64)
         return none, none, none, none
-    hashes = word_hashes(words, cache)
     kmers, place = anchors(hashes, window, kmer)
     start = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
     count = np.diff(np.append(start, len(place)))
@@ -101,14 +116,14 @@ def paths(words: list[bytes], cache: WordHashes, window: int = WINDOW, kmer: int
     return start, count, kmers[place[start]].astype(np.int64), label.astype(np.int64)
 
 
-def windows(words: list[bytes], cache: WordHashes, window: int = WINDOW) -> np.ndarray:
-    sums, inverse = prefix_hashes(word_hashes(words, cache))
-    at = np.arange(len(words) - window + 1)
+def windows(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    sums, inverse = prefix_hashes(hashes)
+    at = np.arange(len(hashes) - window + 1)
     return _mixed((sums[at + window] - sums[at]) * inverse[at]).astype(np.int64)
 
 
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").split()
+def _data(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "replace")
 
 
 def _keys(text: Column) -> list[Column]:
@@ -119,11 +134,10 @@ def _keys(text: Column) -> list[Column]:
 
 def _paths_of(window: int, kmer: int, coordinates: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordHashes()
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.iloc[at : at + 512]
-                got = [paths(_words(t), cache, window, kmer) for t in part["text"]]
+                got = [paths(word_hashes(_data(t)), window, kmer) for t in part["text"]]
                 start, count, anchor, label = (np.concatenate(x) for x in zip(*got))
                 out = {"anchor": anchor, "label": label}
                 if coordinates:
@@ -147,11 +161,10 @@ _RESULT = "doc_id {id}, n_words long, spans array<array<int>>, kept_sha256 strin
 
 def _first_pass(window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordHashes()
         for batch in batches:
             rows = []
             for doc_id, k1, k2, text, start, count, kind, anchor, label in batch.itertuples(index=False, name=None):
-                words = _words(text)
+                words = _data(text).split()
                 covered = np.zeros(len(words), dtype=bool)
                 if start is None or not len(start):
                     rows.append((doc_id, len(words), *_kept(words, covered), k1, k2, None, None, None, None, None, None))
@@ -163,7 +176,7 @@ def _first_pass(window: int):
                 if not len(lookup):
                     rows.append((doc_id, len(words), spans, digest, k1, k2, None, None, None, None, None, None))
                     continue
-                hashes = windows(words, cache, window)
+                hashes = windows(word_hashes(_data(text)), window)
                 at = np.concatenate([np.arange(start[i], start[i] + count[i]) for i in lookup])
                 times = count[lookup]
                 checks = bool((kind == CHECK).any())
@@ -179,7 +192,7 @@ def _second_pass(window: int):
         for batch in batches:
             rows = []
             for doc_id, text, spans, at in batch.itertuples(index=False, name=None):
-                words = _words(text)
+                words = _data(text).split()
                 covered = np.zeros(len(words), dtype=bool)
                 for a, b in spans:
                     covered[a:b] = True

@@ -66,6 +66,20 @@ def test_anchor_is_the_first_smallest():
         assert same.setdefault(w, k) == k
 
 
+def test_word_hashes_follow_the_words(monkeypatch):
+    rnd = random.Random(5)
+    texts = ["", " \n", "a", " a\tb ", "é a\x0bé", "ab a b ba aba", " ".join("xyz"[: rnd.randint(1, 3)] * rnd.randint(1, 9) for _ in range(3000))]
+    for block in (substrings._BLOCK, 16):
+        monkeypatch.setattr(substrings, "_BLOCK", block)
+        known = {}
+        for t in texts:
+            words = t.encode().split()
+            hashes = substrings.word_hashes(t.encode()).tolist()
+            assert len(hashes) == len(words)
+            assert all(known.setdefault(w, h) == h for w, h in zip(words, hashes))
+        assert len(set(known.values())) == len(known)
+
+
 def test_null_and_repeated_ids(spark):
     long = " ".join(f"v{i}" for i in range(50))
     docs = spark.createDataFrame([(None, long), (None, long), (3, long + " more"), (3, "short"), (4, None)], "doc_id long, text string")
