@@ -40,7 +40,7 @@ FUZZY = 4
 WINDOW = 8
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
-_CACHE = 50_000
+_CACHE = 200_000
 #: Documents whose words are counted at once; bounds a task's memory.
 SLICE = 500
 
