@@ -463,7 +463,9 @@ SELECT bound, (SELECT string_agg(period, ', ' ORDER BY period) FROM (SELECT DIST
 FROM b WHERE bound NOT IN (SELECT period FROM l)""",
         "period_available": f"""SELECT string_agg(period, ', ' ORDER BY period) AS available, count(*) AS n_periods
 FROM (SELECT DISTINCT period FROM {_LINKS})""",
-        "page_links": """SELECT page_id, href, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href AS url
+        # every href of these pages is a rooted path; its segments are percent-encoded, commas stay
+        "page_links": """SELECT page_id, href, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)
+       || array_to_string(list_transform(string_split(href, '/'), lambda s: replace(url_encode(s), '%2C', ',')), '/') AS url
 FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages)""",
         "link_period_last_wins": """SELECT strftime(o_orderdate, '%Y%m') AS period,
        arg_max('https://example.com/' || strftime(o_orderdate, '%Y') || '/' || substr(o_orderpriority, 1, 1)
