@@ -33,6 +33,8 @@ WINDOW = 35
 KMER = 8
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Documents that a task works on at once; bounds its memory.
+SLICE = 512
 _BLOCK = 1 << 20
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 _SEPARATES = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
@@ -126,6 +128,12 @@ def _data(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
 
+def _sliced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.iloc[at : at + SLICE]
+
+
 def _keys(text: Column) -> list[Column]:
     """128 bits for a text, as two longs."""
     t = F.coalesce(text, F.lit(""))
@@ -134,17 +142,15 @@ def _keys(text: Column) -> list[Column]:
 
 def _paths_of(window: int, kmer: int, coordinates: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at : at + 512]
-                got = [paths(word_hashes(_data(t)), window, kmer) for t in part["text"]]
-                start, count, anchor, label = (np.concatenate(x) for x in zip(*got))
-                out = {"anchor": anchor, "label": label}
-                if coordinates:
-                    sizes = [len(x[0]) for x in got]
-                    out |= {"k1": np.repeat(part["k1"].to_numpy(), sizes), "k2": np.repeat(part["k2"].to_numpy(), sizes)}
-                    out |= {"start": start.astype(np.int32), "count": count.astype(np.int32)}
-                yield pd.DataFrame(out)
+        for part in _sliced(batches):
+            got = [paths(word_hashes(_data(t)), window, kmer) for t in part["text"]]
+            start, count, anchor, label = (np.concatenate(x) for x in zip(*got))
+            out = {"anchor": anchor, "label": label}
+            if coordinates:
+                sizes = [len(x[0]) for x in got]
+                out |= {"k1": np.repeat(part["k1"].to_numpy(), sizes), "k2": np.repeat(part["k2"].to_numpy(), sizes)}
+                out |= {"start": start.astype(np.int32), "count": count.astype(np.int32)}
+            yield pd.DataFrame(out)
 
     return run
 
@@ -161,7 +167,7 @@ _RESULT = "doc_id {id}, n_words long, spans array<array<int>>, kept_sha256 strin
 
 def _first_pass(window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _sliced(batches):
             rows = []
             for doc_id, k1, k2, text, start, count, kind, anchor, label in batch.itertuples(index=False, name=None):
                 words = _data(text).split()
@@ -189,7 +195,7 @@ def _first_pass(window: int):
 
 def _second_pass(window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _sliced(batches):
             rows = []
             for doc_id, text, spans, at in batch.itertuples(index=False, name=None):
                 words = _data(text).split()
