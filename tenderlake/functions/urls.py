@@ -73,8 +73,18 @@ def _joined(b: Column, r: Column) -> Column:
     return F.when(good, url)
 
 
+# What needs no more than being put together: a lower-case http(s) base and a path of plain characters,
+# neither with a segment that begins with a dot.
+_PLAIN_BASE = "^https?://[a-z0-9.-]+(?::[0-9]+)?(?:/(?:[A-Za-z0-9_~-][A-Za-z0-9._~-]*/?)*)?(?:[?#].*)?$"
+_PLAIN_HREF = "^/?[A-Za-z0-9_~-][A-Za-z0-9._~-]*(?:/[A-Za-z0-9_~-][A-Za-z0-9._~-]*)*/?$"
+
+
 def resolve_url(base: Column, href: Column) -> Column:
     """Resolve ``href`` against ``base``; null when either is null or no URL comes out."""
     clean = F.regexp_replace(F.regexp_replace(href, "^[\\x00-\\x20]+|[\\x00-\\x20]+$", ""), "[\\t\\n\\r]", "")
     pair = F.struct(_parsed(base).alias("b"), _parsed(clean).alias("r"))
-    return F.when(base.isNotNull() & href.isNotNull(), _let(pair, lambda p: _joined(p["b"], p["r"])))
+    general = F.when(base.isNotNull() & href.isNotNull(), _let(pair, lambda p: _joined(p["b"], p["r"])))
+    origin = F.regexp_extract(base, "^(https?://[^/?#]+)", 1)
+    folder = F.regexp_extract(base, "^https?://[^/?#]+([^?#]*/)", 1)
+    start = F.when(href.startswith("/"), origin).when(folder == "", F.concat(origin, F.lit("/"))).otherwise(F.concat(origin, folder))
+    return F.when(base.rlike(_PLAIN_BASE) & href.rlike(_PLAIN_HREF), F.concat(start, href)).otherwise(general)

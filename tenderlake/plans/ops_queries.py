@@ -101,7 +101,9 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<a>no href</a></body></html>"),
     )
     url = F.concat(F.lit("https://example.com/"), year, F.lit("/list/?o="), okey)
-    return o.select(F.col("o_orderkey").alias("page_id"), url.alias("url"), html.alias("html"))
+    pages = o.select(F.col("o_orderkey").alias("page_id"), url.alias("url"), html.alias("html"))
+    # as many parts as a pages table of this size would have; the orders come in one small file
+    return pages.repartition(2 * spark.sparkContext.defaultParallelism)
 
 
 def link_period_last_wins(spark, sf_dir):
