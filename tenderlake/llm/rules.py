@@ -4,7 +4,8 @@ Each rule votes for a document (1), against it (0) or abstains (null), from stat
 Expectation-maximisation over the vote patterns estimates, for each rule, how often it votes for good and for bad
 documents, and the share of good ones; a document's posterior probability of being good replaces the demand that
 it pass every rule. There are at most 3 ** rules different patterns, so every iteration is one aggregation of a
-table whose size does not depend on the corpus.
+table whose size does not depend on the corpus. Only documents that pass the base rule are learned from: the others
+are rejected whatever the votes say, and their many kinds of junk would draw the classes to another split.
 
 Start: a document without a vote against it counts as good with probability ``CLEAN``, one with votes against it
 with ``DOUBT`` to the power of their number. Estimates are smoothed by ``PRIOR`` imagined votes, so a rule that
@@ -29,9 +30,10 @@ BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 CLEAN, DOUBT = 0.95, 0.05
 PRIOR = 1.0
-#: A rule's votes against good documents are at most this share: the thresholds are set where good text hardly ever
-#: goes, and a rule is never worse than chance. Without it the two classes may settle on another split.
+#: ``estimate`` by default: a rule's votes against good documents are at most this share. One vote against then rejects.
 MAX_FALSE = 0.002
+#: What ``judged`` asks of every rule instead: to be no worse than chance on good documents.
+FAIR = 0.5
 ROUNDS = 20
 THRESHOLD = 0.5
 
@@ -126,8 +128,11 @@ def _posterior(logit: Column) -> Column:
     return 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-500.0)), F.lit(500.0))))
 
 
-def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> dict:
-    """Expectation-maximisation over ``patterns`` (a column of votes for each name, and n rows with them)."""
+def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS, least: float = 1 - MAX_FALSE) -> dict:
+    """Expectation-maximisation over ``patterns`` (a column of votes for each name, and n rows with them).
+
+    ``least`` is the smallest rate at which a rule may be taken to vote for good documents.
+    """
     cast = {x: F.col(x) for x in names}
     against = reduce(lambda a, b: a + b, [F.when(c == 0, 1).otherwise(0) for c in cast.values()])
     good = F.when(against == 0, CLEAN).otherwise(F.pow(F.lit(DOUBT), against))
@@ -143,7 +148,7 @@ def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> dic
         model = {"good": rate(s["g"], s["g"] + s["b"])}
         for x in names:
             up, up_bad = rate(s[f"{x}_g_for"], s[f"{x}_g_all"]), rate(s[f"{x}_b_for"], s[f"{x}_b_all"])
-            up = max(up, 1 - MAX_FALSE)
+            up = max(up, least)
             model[x] = (up, min(up, up_bad))
         good = _posterior(_logit(model, cast))
     return model
@@ -153,9 +158,9 @@ def judged(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -
     """Statistics, base_failed, posterior and kept of every row of ``docs`` (doc_id, text)."""
     stats = written(spark, statistics(docs.select("doc_id", "text")), "rules")
     rules = votes()
-    counted = stats.select(*[v.alias(k) for k, v in rules.items()]).groupBy(*rules).agg(F.count(F.lit(1)).alias("n"))
-    model = estimate(written(spark, counted, "vote-patterns"), list(rules))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    counted = stats.where(~failed).select(*[v.alias(k) for k, v in rules.items()]).groupBy(*rules).agg(F.count(F.lit(1)).alias("n"))
+    model = estimate(written(spark, counted, "vote-patterns"), list(rules), least=FAIR)
     return (
         stats.withColumn("base_failed", failed)
         .withColumn("posterior", _posterior(_logit(model, rules)))

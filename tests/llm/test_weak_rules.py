@@ -82,3 +82,16 @@ def test_query_keeps_clean_text_and_drops_junk(spark):
     out = op5_weak_supervision_rules(spark, d).join(labels, "doc_id").where("not base_failed")
     share = {r.quality: r.k for r in out.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
     assert share[1] > 0.99 and share[0] < 0.05
+
+
+def test_verdicts_differ_from_all_must_pass(spark):
+    """One vote against does not always reject: good texts with repeated lines stay, junk that passes the base rule goes."""
+    d = "/root/testdata/sf0.1"
+    names = rules.votes()
+    against = sum((F.coalesce((v == 0).cast("int"), F.lit(0)) for v in names.values()), F.lit(0))
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    out = rules.judged(spark, spark.read.parquet(f"{d}/documents.parquet")).where("not base_failed").withColumn("against", against)
+    got = out.join(labels, "doc_id", "left").groupBy("quality", "kept", (F.col("against") > 0).alias("faulted")).count().collect()
+    count = {(r.quality, r.kept, r.faulted): r["count"] for r in got}
+    assert sum(n for (_, kept, faulted), n in count.items() if kept == faulted) > 0
+    assert sum(n for (quality, kept, _), n in count.items() if quality == int(not kept)) == 0, count
