@@ -4,9 +4,11 @@ Seeds are the e-mail addresses, IP addresses, card numbers and phone numbers tha
 The words just before a seed form a lexical pattern; pieces of text that look like identifiers but that no fixed
 pattern takes are candidates, with the pattern before them. Patterns and instances (seeds and candidates) form a
 graph that is scored in turns: a pattern's confidence for a kind is the sum of its instances' scores for it over the
-number of all its instances plus ``DOUBT``; a candidate's score is the chance that at least one of the patterns
-before it is right. Candidates that score ``ACCEPT`` behind a pattern of that confidence with ``SUPPORT`` different
-seeds become spans of the kind as well; they never replace a seed or overlap one.
+number of its instances that could be of the kind plus ``DOUBT``; a candidate's score is the chance that at least one
+of the patterns before it is right. A pattern counts for a kind once it has ``SUPPORT`` different seeds or candidates
+that score ``ACCEPT``. Turns go on until no confidence changes by ``SETTLED``; a candidate that the kind's own test
+refutes (a card number with a wrong check digit) never speaks for a pattern. Candidates behind a pattern of confidence
+``ACCEPT`` become spans of the kind as well; they never replace a seed or overlap one.
 
 Positions count code points from 0, ends exclusive. The patterns below give the same matches as those they are named
 after, but need time in proportion to the text: runs are taken whole, and a match begins where a run does.
@@ -22,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import few, fresh, text_key, written
+from tenderlake.llm.common import few, fresh, small, text_key, written
 
 KINDS = ("email", "ip", "card", "phone")
 _USER, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -41,7 +43,7 @@ CANDIDATE = (
 )
 LEFT = "[\\p{L}]{2,40}[^\\p{L}\\p{N}]{0,4}$"
 CONTEXT = 48
-ROUNDS = 3
+SETTLED = 1e-3
 DOUBT = 2.0
 SUPPORT = 3
 ACCEPT = 0.8
@@ -160,30 +162,58 @@ def _fits(kind: str, value: Column) -> Column:
     }[kind]
 
 
-def accepted(spark: SparkSession, seen: DataFrame, free: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _refuted(value: Column, k: Column) -> Column:
+    """Whether a candidate has the form that the fixed pattern of its kind asks for, but fails its test."""
+    n = F.length(_digits(value))
+    return ((k == KINDS.index("card")) & n.between(13, 19) & ~VALID["card"](value)) | ((k == KINDS.index("ip")) & ~VALID["ip"](value))
+
+
+def trusts(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """(pattern, k, trust) of the patterns that count, settled; from ``edges`` (pattern, value, k, seed, refuted).
+
+    Confidences only grow from turn to turn. A pattern's own part in its candidates' scores is solved for at once: with
+    miss the chance that all other patterns before a candidate are wrong, its score is 1 - miss + miss * trust, so
+    trust * (n + DOUBT) = seeds + sum(1 - miss) + sum(miss) * trust. Turns then only carry trust between patterns.
+    """
+    n = F.count(F.lit(1))
+    totals = edges.groupBy("pattern", "k").agg(n.alias("n"), F.sum(F.col("seed").cast("long")).alias("seeds"))
+    totals = written(spark, totals, "pii-patterns")
+    open_edges = written(spark, edges.where("not seed and not refuted").select("pattern", "value", "k"), "pii-candidates")
+    known = None
+    while True:
+        if known is None:
+            trust = totals.where(F.col("seeds") >= SUPPORT).select("pattern", "k", (F.col("seeds") / (F.col("n") + DOUBT)).alias("trust"))
+            trust = written(spark, trust, "pii-trust")
+        else:
+            own = open_edges.join(small(known.withColumnRenamed("trust", "own")), ["pattern", "k"], "left")
+            miss = F.log1p(-F.least("own", F.lit(1 - 1e-9)))
+            all_miss = written(spark, own.where("own is not null").groupBy("value", "k").agg(F.sum(miss).alias("all_miss")), "pii-scores")
+            seen = own.join(all_miss, ["value", "k"]).withColumn("miss", F.exp(F.least(F.col("all_miss") - F.coalesce(miss, F.lit(0.0)), F.lit(0.0))))
+            sums = seen.groupBy("pattern", "k").agg(
+                F.sum("miss").alias("miss"), n.alias("heard"), F.sum((1 - F.exp("all_miss") >= ACCEPT).cast("long")).alias("taken"),
+            )
+            total = totals.join(sums, ["pattern", "k"], "left").na.fill(0, ["miss", "heard", "taken"])
+            solved = (F.col("seeds") + F.col("heard") - F.col("miss")) / (F.col("n") + DOUBT - F.col("miss"))
+            trust = total.join(small(known.withColumnRenamed("trust", "old")), ["pattern", "k"], "left")
+            trust = trust.where((F.col("seeds") + F.col("taken") >= SUPPORT) | F.col("old").isNotNull())
+            trust = written(spark, trust.select("pattern", "k", F.greatest(solved, F.coalesce("old", F.lit(0.0))).alias("trust"), "old"), "pii-trust")
+            if not trust.where(F.col("old").isNull() | (F.col("trust") - F.col("old") >= SETTLED)).limit(1).count():
+                return trust.drop("old")
+        known = trust.select("pattern", "k", "trust")
+
+
+def accepted(spark: SparkSession, seen: DataFrame, free: DataFrame) -> DataFrame:
     """(pattern, value, k) of the candidates that the graph's confident patterns take.
 
     ``seen`` has the seeds (pattern, value, k), ``free`` the candidates (pattern, value); repeated rows count once.
     """
-    own = seen.where("pattern <> ''").select("pattern", "value", "k", F.lit(True).alias("seed")).distinct()
+    own = seen.where("pattern <> ''").select("pattern", "value", "k", F.lit(True).alias("seed"))
     fits = F.array_compact(F.array(*[F.when(_fits(kind, F.col("value")), k) for k, kind in enumerate(KINDS)]))
-    loose = free.select("pattern", "value").distinct()
-    other = loose.select("pattern", "value", F.explode(fits).alias("k"), F.lit(False).alias("seed"))
-    edges = written(spark, own.unionAll(other), "pii-edges")
-    sizes = own.select("pattern", "value").unionAll(loose).distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    support = edges.where("seed").groupBy("pattern", "k").agg(F.count(F.lit(1)).alias("support"))
-    known = written(spark, support.join(sizes, "pattern"), "pii-patterns")
-    edges = edges.join(known.where(F.col("support") >= SUPPORT).select("pattern", "k", "n", "support"), ["pattern", "k"])
-    scores = None
-    for _ in range(rounds):
-        scored = edges.withColumn("score", F.col("seed").cast("double"))
-        if scores is not None:
-            scored = edges.join(scores, ["value", "k"], "left").withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0))))
-        trust = scored.groupBy("pattern", "k").agg((F.sum("score") / (F.first("n") + DOUBT)).alias("trust"))
-        trust = written(spark, trust, "pii-trust")
-        miss = F.sum(F.log1p(-F.least("trust", F.lit(1 - 1e-9))))
-        scores = written(spark, edges.where("not seed").join(trust, ["pattern", "k"]).groupBy("value", "k").agg((1 - F.exp(miss)).alias("score")), "pii-scores")
-    taken = edges.where("not seed").join(trust.where(F.col("trust") >= ACCEPT), ["pattern", "k"]).join(scores.where(F.col("score") >= ACCEPT), ["value", "k"])
+    other = free.select("pattern", "value", F.explode(fits).alias("k"), F.lit(False).alias("seed"))
+    edges = own.unionAll(other).groupBy("pattern", "value", "k").agg(F.max("seed").alias("seed"))
+    edges = written(spark, edges.withColumn("refuted", ~F.col("seed") & _refuted(F.col("value"), F.col("k"))), "pii-edges")
+    sure = written(spark, trusts(spark, edges).where(F.col("trust") >= ACCEPT), "pii-sure")
+    taken = edges.where("not seed").join(small(sure), ["pattern", "k"])
     best = F.max(F.struct("trust", (-F.col("k")).alias("k")))
     return taken.groupBy("pattern", "value").agg(best.alias("b")).select("pattern", "value", (-F.col("b.k")).alias("k"))
 

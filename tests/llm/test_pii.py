@@ -103,3 +103,46 @@ def test_query(spark):
         assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(x[0] == k for x in want) for k in pii.KINDS]
         assert r.base_sha256 == hashlib.sha256(listed(want).encode()).hexdigest()
         assert set(listed(want).split(",")) <= set(r.spans.split(","))
+
+
+def bootstrapped(spark, seen, free):
+    seen = spark.createDataFrame(seen, "pattern string, value string, k int")
+    return {(r.pattern, r.value, r.k) for r in pii.accepted(spark, seen, spark.createDataFrame(free, "pattern string, value string")).collect()}
+
+
+def test_bootstrap_settles(spark):
+    email, card, phone = (pii.KINDS.index(x) for x in ("email", "card", "phone"))
+    seen = [("contact: ", f"u{i}@x.org", email) for i in range(30)] + [("contact: ", f"+1 555 {1000000 + i}", phone) for i in range(30)]
+    few = [("contact: ", f"555-{2000 + i:04d}") for i in range(5)]  # behind a word of two kinds
+    seen += [("call ", f"+1 777 {1000000 + i}", phone) for i in range(100)]
+    many = [("call ", f"777-{i:04d}") for i in range(300)]  # three unseen ones to a seed
+    learned = [("dial ", f"777-{i:04d}") for i in range(40)]  # a pattern without a seed
+    beyond = [("dial ", "888-0001")]
+    weak = [("nr ", f"777-{i:04d}") for i in range(2)] + [("nr ", "999-0001")]  # too few
+    seen += [("the ", "4111 1111 1111 %04d" % i, card) for i in range(12)]
+    wrong = [("the ", "411111111111%04d" % i) for i in range(1112, 1130) if not luhn("411111111111%04d" % i)]
+    got = bootstrapped(spark, seen, few + many + learned + beyond + weak + wrong)
+    assert got == {(p, v, phone) for p, v in few + many + learned + beyond}
+
+
+def test_trusts_equal_plain_iteration(spark):
+    """Against the plain turns (no part solved at once), run to rest in Python."""
+    rnd = random.Random(9)
+    refuted = {f"v{i}" for i in range(150) if rnd.random() < 0.1}
+    edges = {(f"p{rnd.randrange(12) ** 2 // 12}", f"v{rnd.randrange(150)}"): rnd.random() < 0.3 for _ in range(400)}
+    rows = [(p, v, 0, s, v in refuted and not s) for (p, v), s in edges.items()]
+    trust, score = {}, {}
+    for _ in range(5000):
+        scores = lambda p: [(1.0 if s else 0.0 if r else score.get(v, 0.0)) for q, v, _, s, r in rows if q == p]
+        for p in {r[0] for r in rows}:
+            support = sum(s or (not r and score.get(v, 0.0) >= pii.ACCEPT) for q, v, _, s, r in rows if q == p)
+            if p in trust or support >= pii.SUPPORT:
+                trust[p] = sum(scores(p)) / (len(scores(p)) + pii.DOUBT)
+        old, score = score, {}
+        for p, v, _, s, _r in rows:
+            if not s and p in trust:
+                score[v] = 1 - (1 - score.get(v, 0.0)) * (1 - trust[p])
+        if score.keys() == old.keys() and all(abs(score[v] - old[v]) < 1e-12 for v in score):
+            break
+    got = {r.pattern: r.trust for r in pii.trusts(spark, spark.createDataFrame(rows, "pattern string, value string, k int, seed boolean, refuted boolean")).collect()}
+    assert got.keys() == trust.keys() and all(abs(got[p] - trust[p]) < 0.01 for p in trust)
