@@ -27,7 +27,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that leak no benchmark item."""
-    return decontaminate.drop_leaks(spark, docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return decontaminate.drop_leaks(spark, docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), short=True)
 
 
 def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,11 +6,14 @@ Hashes of the items are joined with hashes of the documents. Around each hit the
 the document leaks the item if some stretch of ``OVERLAP`` words there (or the whole item, if shorter), holding the
 hit, has ``SIMILAR`` of its words equal place by place.
 
+With ``short``, items of at most ``OVERLAP`` words are found by runs of equal words instead of masks, each run as long
+as the longest that must be left when as many words are replaced as the check allows: none of their leaks is missed.
+
 The items' hashes are broadcast in blocks of at most ``BLOCK`` seeds, so the size of a broadcast has a bound, and the
 documents are read once for each block. Documents' words are never shuffled; hits are aggregated before they are.
 
-Edge cases: a null or empty text, and an item with fewer words than the shortest mask, have no seeds and match
-nothing; repeated documents and items give the same result for each; a null key is a key like others; an empty
+Edge cases: a null or empty text, and without ``short`` an item with fewer words than the shortest mask, have no seeds
+and match nothing; repeated documents and items give the same result for each; a null key is a key like others; an empty
 table gives no rows; only the named columns are read.
 """
 
@@ -56,6 +59,12 @@ def seeded(rows: DataFrame, hashes: str, masks: tuple[str, ...] = MASKS) -> Data
     return out.withColumn("span", span).drop("mask", hashes)
 
 
+def run_length(n: Column, similar: float) -> Column:
+    """Equal words in a row that are left at least when ``n`` words have ``similar`` of them equal."""
+    need = F.ceil(n * similar - 1e-9)
+    return F.ceil(need / (n - need + 1)).cast("int")
+
+
 def _equal_stretch(overlap: int, similar: float) -> Column:
     """Whether a stretch around the hit is equal enough; over doc_w, item_w, doc_at, item_at, span."""
     n = F.least(F.lit(overlap), F.size("item_w"))
@@ -68,17 +77,36 @@ def _equal_stretch(overlap: int, similar: float) -> Column:
     return F.when(first <= last, F.exists(F.sequence(first, last), lambda s: total(s) >= need)).otherwise(F.lit(False))
 
 
-def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", masks: tuple[str, ...] = MASKS, overlap: int = OVERLAP, similar: float = SIMILAR, block: int = BLOCK) -> DataFrame:
+def leaks(
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", masks: tuple[str, ...] = MASKS, overlap: int = OVERLAP, similar: float = SIMILAR, block: int = BLOCK, short: bool = False
+) -> DataFrame:
     """One row for each key of ``docs`` (key, text) and item_id of ``items`` (item_id, text) that leaks: hits, equal words, first place."""
     known = items.select("item_id", tokens(F.col("text")).alias("item_w")).withColumn("item_key", F.xxhash64("item_w"))
+    read = docs.select(F.col(key).alias("key"), tokens(F.col("text")).alias("doc_w")).withColumn("hashes", hashed(F.col("doc_w")))
+    n = F.size("item_w")
+    if not short:
+        found = _found(read, known, masks, None, overlap, similar, block)
+    else:
+        found = _found(read, known.where(n > overlap), masks, None, overlap, similar, block)
+        run = run_length(n, similar)
+        lengths = sorted(r["run"] for r in known.where(n.between(1, overlap)).select(run.alias("run")).distinct().collect())
+        if lengths:  # at most one for each number of words up to overlap
+            found += _found(read, known.where(n.between(1, overlap)), tuple("1" * k for k in lengths), run, overlap, similar, block)
+    out = reduce(DataFrame.unionAll, found)
+    return out.select(F.col("key").alias(key), "item_id", "hits", "equal_words", "item_words", "start_word")
+
+
+def _found(read: DataFrame, known: DataFrame, masks: tuple[str, ...], span: Column | None, overlap: int, similar: float, block: int) -> list[DataFrame]:
+    """The leaks for each block of the items; an item's masks are those of the length ``span``, or all."""
     size = known.agg(F.sum(F.size("item_w")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size * len(masks) // block))
-    read = docs.select(F.col(key).alias("key"), tokens(F.col("text")).alias("doc_w")).withColumn("hashes", hashed(F.col("doc_w")))
     found = []
     for k in range(blocks):
         part = known.where(F.pmod(F.xxhash64("item_key"), F.lit(blocks)) == k)
         texts = part.select("item_key", "item_w").distinct()
-        theirs = seeded(texts.select("item_key", hashed(F.col("item_w")).alias("hashes")), "hashes", masks).select("item_key", F.col("at").alias("item_at"), "h")
+        wanted = F.lit(None).cast("int") if span is None else span
+        theirs = seeded(texts.select("item_key", wanted.alias("wanted"), hashed(F.col("item_w")).alias("hashes")), "hashes", masks)
+        theirs = theirs.where(F.coalesce(F.col("span") == F.col("wanted"), F.lit(True))).select("item_key", F.col("at").alias("item_at"), "h")
         # all up to the check is one generated stage, in which a document's words are not copied
         ours = seeded(read, "hashes", masks).withColumnRenamed("at", "doc_at")
         hits = ours.join(F.broadcast(theirs), "h").join(F.broadcast(texts), "item_key")
@@ -92,8 +120,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", masks: tuple[s
             F.count(F.lit(1)).alias("hits"), F.max("equal").alias("equal_words"), F.max("item_words").alias("item_words"), F.min("start").alias("start_word")
         )
         found.append(per_key.join(F.broadcast(part.select("item_key", "item_id").distinct()), "item_key"))
-    out = reduce(DataFrame.unionAll, found)
-    return out.select(F.col("key").alias(key), "item_id", "hits", "equal_words", "item_words", "start_word")
+    return found
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, **options) -> DataFrame:

@@ -81,3 +81,28 @@ def test_query(spark):
     want = {(i, j) for i, t in docs.items() for j, x in items.items() if f" {x} " in f" {t} "}
     got = {(r.doc_id, r.item_id) for r in op6_spaced_seed_leaks(spark, d).collect()}
     assert want and want <= got and len(got) <= len(want) + 2
+
+
+@pytest.mark.parametrize("block", [1_000_000, 40])
+def test_short_items_against_brute_force_without_masks(spark, block):
+    """Every place of the allowed substitutions, and of one more, in items of 1 to 13 words and more."""
+    from itertools import combinations
+
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in [*range(1, 14), 40]]
+    docs = [(None, None), (-1, "")]
+    for n, text in items[:-1]:
+        allowed = n - -(-8 * n // 10)
+        for gone in [*combinations(range(n), allowed), *list(combinations(range(n), allowed + 1))[:20]]:
+            docs.append((len(docs), "Some words, " + " ".join("other" if k in gone else w for k, w in enumerate(text.split())).upper() + " end."))
+    docs.append((len(docs), items[-1][1]))
+    docs.append((len(docs), items[5][1].rsplit(" ", 1)[0]))  # the item's last word is cut off
+    want = set()
+    for d, t in docs:
+        dw = tokens(t)
+        for i, it in items[:-1]:
+            iw = tokens(it)
+            if any(10 * sum(a == b for a, b in zip(iw, dw[s:])) >= 8 * len(iw) for s in range(len(dw) - len(iw) + 1)):
+                want.add((d, i))
+    want.add((docs[-2][0], 40))
+    got = dc.leaks(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string"), block=block, short=True).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want) > 250
