@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import bpe, decontaminate, langid, pii, quality, rules, shards, simhash, substrings, toxicity
+from tenderlake.llm import bpe, decontaminate, langid, phrases, pii, quality, rules, secrets, shards, simhash, substrings, toxicity, whitening
 from tenderlake.llm.common import fold, table
 
 
@@ -102,8 +102,29 @@ def op10_de_bruijn_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
 
 
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: counts and digest of the base patterns' spans, and all spans."""
+    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [secrets.count_kind(F.col("spans"), kind).alias(f"n_{kind}") for kind in secrets.BASE]
+    base = secrets.listed(secrets.base_only(F.col("spans")))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+def op12_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector projected on the four leading components, each to unit variance."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(spark, vectors)
+    error = F.lit(model.identity_error if model else None).cast("double")
+    return whitening.whiten(vectors, model).withColumns({"explained": whitening.explained(model), "identity_error": error})
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language's 2,000 strongest phrases of two and three words."""
+    return phrases.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks, op7_chunk_reuse_bpe, op8_bootstrapped_pii, op9_levenshtein_toxicity, op10_de_bruijn_substrings)}
+    return {f.__name__: f for f in (op1_simhash_bk_trees, op2_karmarkar_karp_shards, op3_rank_order_language, op4_quadratic_quality, op5_weak_supervision_rules, op6_spaced_seed_leaks, op7_chunk_reuse_bpe, op8_bootstrapped_pii, op9_levenshtein_toxicity, op10_de_bruijn_substrings, op11_secret_scans, op12_spectrum_whitening, op13_phrase_collocations)}
 
 
 def _leaks_sql() -> str:
@@ -147,5 +168,29 @@ def _substrings_sql(window: int = substrings.WINDOW) -> str:
     FROM d LEFT JOIN kept USING (r)"""
 
 
+def _phrases_sql(least: int = phrases.LEAST, top: int = phrases.TOP) -> str:
+    """All runs of one to three words counted as strings."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    runs = " UNION ALL ".join(f"SELECT lang, {n} AS k, array_to_string(w[i : i + {n - 1}], ' ') AS s FROM p, unnest(range(1, len(w) - {n - 2})) u(i) WHERE len(w) >= {n}" for n in (1, 2, 3))
+    score = "CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST({l} AS HUGEINT) * {r}) AS BIGINT)"
+    return f"""
+    WITH t AS (SELECT coalesce(lang, '{phrases.UNKNOWN_LANG}') AS lang, translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS t FROM documents),
+    q AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS q FROM t),
+    p AS (SELECT lang, list_filter(regexp_split_to_array(q, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM q),
+    f AS (SELECT lang, k, s, count(*) AS a FROM ({runs}) GROUP BY lang, k, s),
+    n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+    g AS (SELECT lang, k, s, a, string_split(s, ' ') AS w FROM f WHERE k > 1 AND a >= {least}),
+    cuts AS (SELECT g.lang, g.k, g.s, g.a, x.a AS l, y.a AS r, c, {score.format(l="x.a", r="y.a").replace("(a AS", "(g.a AS").replace("* a //", "* g.a //")} AS score
+             FROM g, unnest([1, 2]) c(c), f x, f y
+             WHERE c < g.k AND x.lang = g.lang AND y.lang = g.lang AND x.s = array_to_string(g.w[1:c], ' ') AND y.s = array_to_string(g.w[c + 1:], ' ')),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, c) = 1),
+    held AS (SELECT lang, s, max(a) AS a FROM (SELECT lang, array_to_string(w[1:2], ' ') AS s, a FROM g WHERE k = 3
+             UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM g WHERE k = 3) GROUP BY lang, s),
+    ranked AS (SELECT best.lang, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, best.a DESC, best.s) AS rank, best.s AS phrase, best.a, l, r, score
+               FROM best LEFT JOIN held ON held.lang = best.lang AND held.s = best.s AND best.k = 2
+               WHERE held.a IS NULL OR 100 * held.a < 50 * best.a)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= {top}"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op6_spaced_seed_leaks": _leaks_sql(), "op10_de_bruijn_substrings": _substrings_sql()}
+    return {"op6_spaced_seed_leaks": _leaks_sql(), "op10_de_bruijn_substrings": _substrings_sql(), "op13_phrase_collocations": _phrases_sql()}

@@ -1,0 +1,95 @@
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tenderlake.llm import secrets as sc
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def brute(text):
+    """Base spans by running each pattern over the whole text."""
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def base(text):
+    return [s for s in sc.secret_spans(text, KEYS) if s[1] < 3]
+
+
+KEYS = sc.automaton()
+BODY = "Az09" * 7 + "Qx"
+
+
+def base62(n):
+    digits = ""
+    while n or len(digits) < 6:
+        digits, n = sc.BASE62[n % 62] + digits, n // 62
+    return digits
+
+
+def bech32(prefix, values):
+    """An encoder of its own: the six values that make the residue 1, one bit at a time."""
+    data = "".join(sc.BECH32[v] for v in values)
+    zero = sc.bech32_residue(prefix, data + "q" * 6) ^ 1
+    return data + "".join(sc.BECH32[zero >> 5 * (5 - i) & 31] for i in range(6))
+
+
+def test_base_spans_equal_whole_text_patterns():
+    rnd = random.Random(1)
+    bits = ["password", "PassWd", "secret", "token", "api_key", "APIKEY", "AKIA", "akia", "=", ":", " ", "  ", '"', "'", "é", "漢", "\n", "abc", "x" * 5, "ABCDEFGH12345678",
+            "0123456789abcdef", "deadbeef", "DEADBEEF", "ghp_", "npm_", "nsec1", "_", "-", "=="]
+    for _ in range(4000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14)))
+        assert base(text) == brute(text), text
+
+
+def test_checksums_decide_the_added_kinds():
+    good = base62(zlib.crc32(BODY.encode()))
+    age = "AGE-SECRET-KEY-1" + bech32("age-secret-key-", [i % 32 for i in range(52)]).upper()
+    nostr = "nsec1" + bech32("nsec", [(7 * i) % 32 for i in range(52)])
+    # the published test string of the bech32 standard
+    assert sc.bech32_residue("abcdef", "qpzry9x8gf2tvdw0s3jn54khce6mua7lmqqqxw") == 1
+    for token, kind in ((f"ghp_{BODY}{good}", "github"), (f"ghs_{BODY}{good}", "github"), (f"npm_{BODY}{good}", "npm"), (age, "age"), (nostr, "nostr")):
+        text = f"é {token} ü"
+        spans = [(sc.KINDS[k], text[a:b]) for a, k, b in sc.secret_spans(text, KEYS) if k > 2]
+        assert spans == [(kind, token)]
+        wrong = token[:-9] + ("3" if token[-9] != "3" else "4") + token[-8:]
+        assert not [s for s in sc.secret_spans(wrong, KEYS) if s[1] > 2]
+        assert not [s for s in sc.secret_spans(token + "a1", KEYS) if s[1] > 2]
+    both = f"token=ghp_{BODY}{good}"
+    assert [(sc.KINDS[k], a) for a, k, b in sc.secret_spans(both, KEYS)] == [("assign", 0), ("github", 6)]
+
+
+def test_edges_on_a_table(spark):
+    long = "word " * 300_000 + "secret: abcdefgh " + "é" * 1000 + "f" * 5000
+    rows = [(None, None, "s"), (1, "", None), (2, "token=abcdef", None), (2, "token=abcdef", None), (3, long, None), (4, "ü" * 20 + " AKIA" + "Z9" * 8, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, spans string")
+    got = sc.find(docs.drop("spans")).select("doc_id", sc.listed(F.col("spans")).alias("s"), sc.count_kind(F.col("spans"), "assign").alias("n")).collect()
+    by = {r.doc_id: (r.s, r.n) for r in got}
+    assert len(got) == 6 and by[None] == by[1] == ("", 0) and by[2] == ("assign:0:12", 1)
+    assert by[3][0] == ",".join(f"{sc.KINDS[k]}:{a}:{b}" for a, k, b in brute(long)) and by[4][0] == "access:21:41"
+    masked = {r.doc_id: r for r in sc.mask(docs).collect()}
+    assert masked[2].text == "[ASSIGN]" and masked[None].text is None and masked[None].spans == "s" and masked[4].text.endswith(" [ACCESS]")
+    assert sc.find(docs.drop("spans").limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size", ["sf0.01"])
+def test_query_equals_brute_force(spark, size):
+    from tenderlake.llm.queries import op11_secret_scans
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"/root/testdata/{size}/documents.parquet").collect()}
+    rows = op11_secret_scans(spark, f"/root/testdata/{size}").collect()
+    assert len(rows) == len(texts) and sum(r.n_assign for r in rows) and sum(r.n_hex for r in rows)
+    for r in rows:
+        want = brute(texts[r.doc_id])
+        joined = ",".join(f"{sc.KINDS[k]}:{a}:{b}" for a, k, b in want)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in want) for i in range(3)]
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and set(joined.split(",")) <= set(r.spans.split(","))
