@@ -29,7 +29,7 @@ from tenderlake.plans.fixtures import feed_entries
 from tenderlake.session import ensure_checkpoint_dir, scratch_path
 from tenderlake.sources.fsio import folders, fs_and_path
 
-FEED_HEAD = ('<?xml version="1.0" encoding="UTF-8"?>\n'
+FEED_HEAD = ('<?xml version="1.0" encoding="{}"?>\n'
              '<feed xmlns="http://www.w3.org/2005/Atom" '
              'xmlns:cac="urn:cac" xmlns:cbc="urn:cbc" '
              'xmlns:cac-place-ext="urn:cac-place-ext" xmlns:cbc-place-ext="urn:cbc-place-ext">\n'
@@ -42,7 +42,7 @@ _MEMO: dict[tuple, str] = {}
 SALTS = 4   # a period is written by up to so many tasks
 
 
-def _writer(root: str, archive: bool):
+def _writer(root: str, archive: bool, encoding: str):
     """Rows sorted by period -> one file per period, written as the rows come."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zipfile
@@ -78,8 +78,8 @@ def _writer(root: str, archive: bool):
                         member = zf.open(f"feeds/part-{pid:05d}.xml", "w")
                     else:
                         member = out
-                    member.write(FEED_HEAD.encode())
-                data = ("\n".join(texts) + "\n").encode("utf-8")
+                    member.write(FEED_HEAD.format(encoding).encode())
+                data = ("\n".join(texts) + "\n").encode(encoding)
                 member.write(data)
                 n, size = n + len(texts), size + len(data)
         if open_period is not None:
@@ -89,12 +89,12 @@ def _writer(root: str, archive: bool):
     return run
 
 
-def write_feed(texts: DataFrame, root: str, archive: bool = False) -> DataFrame:
+def write_feed(texts: DataFrame, root: str, archive: bool = False, encoding: str = "UTF-8") -> DataFrame:
     """Write ``(period, entry_xml)`` rows as feed files below ``root``; returns the manifest."""
     n = 2 * texts.sparkSession.sparkContext.defaultParallelism
     salt = F.pmod(F.xxhash64("entry_xml"), F.lit(SALTS))
     dealt = texts.select("period", "entry_xml").repartition(n, F.col("period"), salt).sortWithinPartitions("period")
-    return dealt.mapInPandas(_writer(root, archive), "period string, file string, n_entries long, bytes long")
+    return dealt.mapInPandas(_writer(root, archive, encoding), "period string, file string, n_entries long, bytes long")
 
 
 def feed_root(spark: SparkSession, sf_dir: str, omit_atom: bool = False, archive: bool = False) -> str:

@@ -1,20 +1,32 @@
 """Feed sources: discovery of feed files (S1) and the entry scan (S2), plus the raw block.
 
-Default scan: the text source splits files at ``<entry``, so a large feed file is read by
-many tasks (splittable), and each record is parsed with ``from_xml`` against the RAW schema.
-Strict scan: the built-in XML source with ``rowTag=entry`` (one task per file, full XML
-validation of the whole file). Both give the same parsed struct ``e``.
+Default scan: the text source reads splits of the files, in records that end with ``entry>``; a narrow Arrow step per
+split cuts them into entries (``entry_cut``: any prefix, any encoding that the file declares, blind to tags in comments and
+CDATA), and each is parsed with ``from_xml`` against the RAW schema. Files of more than one split are read once before:
+every split tells in which mode it would end for each mode it may begin in, a fold over these few rows gives the
+modes they do begin in, and the pieces of entries that reach over a split's border are put together.
+Strict scan: the built-in XML source with ``rowTag=entry`` (one task per file, full XML validation of the whole file).
+Both give the same parsed struct ``e``.
 
 An entry without an end tag (a truncated file) is malformed in every scan: FAILFAST raises,
-PERMISSIVE keeps its text in ``e._corrupt_record`` so that it can be counted. A file whose
-path does not lie below the scanned root raises; no file is dropped without a word.
+PERMISSIVE keeps its text in ``e._corrupt_record`` so that it can be counted; bytes that the file's encoding does not have
+make an entry malformed too, and an unknown encoding raises. A file whose path does not lie below the scanned root raises;
+no file is dropped without a word.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import sys
+from collections.abc import Iterator
+from itertools import chain
+
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tenderlake.session import scratch_path
+from tenderlake.sources import entry_cut
 from tenderlake.sources.fsio import qualified
 from tenderlake.schema import (
     ATOM_FIELDS,
@@ -27,12 +39,21 @@ from tenderlake.schema import (
 
 # Fixed value: feed files are *.xml / *.atom in any letter case.
 FEED_GLOB = "*.{[xX][mM][lL],[aA][tT][oO][mM]}"
-ENTRY_START = "<entry"
-ENTRY_END = "</entry>"
+#: The text source's records end with this: start tags without attributes and end tags, of any prefix.
+RECORD_END = "entry>"
+#: Files up to this size are never split by the text source (Spark's least split, its cost of opening a file).
+LEAST_SPLIT = "spark.sql.files.openCostInBytes"
+#: Splits that do not begin in plain UTF-8 text, at most; their modes and encodings go to all tasks.
+MOST_ODD_SPLITS = 1_000_000
+_BATCH_ENTRIES, _BATCH_BYTES = 2_000, 8 << 20
 # The last contract block, kept as source text (with or without a prefix, CDATA and entities untouched).
 RAW_BLOCK_PATTERN = r"(?s).*(<(?:[\w.-]+:)?ContractFolderStatus[\s>].*?</(?:[\w.-]+:)?ContractFolderStatus\s*>)"
 CORRUPT = "_corrupt_record"
 
+# Functions of this module run in Python workers: ship them by value so the workers do not
+# need the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def xml_options(mode: str = "FAILFAST") -> dict[str, str]:
     return {**XML_OPTIONS, "mode": mode}
@@ -110,18 +131,122 @@ def list_feed_files(spark: SparkSession, root: str, paths: list[str] | None = No
                  .where(F.col("period") != F.lit("")))
 
 
-def split_entries(records: DataFrame, text_col: str = "value") -> DataFrame:
-    """Text records cut at ``<entry`` -> one ``<entry>...</entry>`` string each.
+def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, int, Iterator[bytes]]]:
+    """(path, start, length, the file's size, records) of each split in a task's rows, in order.
 
-    The feed head before the first entry gives no row; what follows an end tag is dropped; an
-    entry without an end tag stays as it is, so that the parse takes it for malformed.
+    Records get back the end that the text source has taken off; the last one of a file has one only if the
+    file's size says so (known where the split is all of the file).
     """
-    value = F.col(text_col)
-    end = F.instr(value, ENTRY_END)
-    body = F.when(end > 0, F.substring(value, F.lit(1), end + F.lit(len(ENTRY_END) - 1))).otherwise(value)
-    return (records.where(value.rlike(r"^[\s>]"))
-                   .withColumn("entry_xml", F.concat(F.lit(ENTRY_START), body))
-                   .drop(text_col))
+    rows = ((path, start, length, size, value.as_py() or b"")
+            for batch in batches
+            for path, start, length, size, value in zip(*(batch.column(k).to_pylist() for k in range(4)), batch.column(4)))
+    ahead = next(rows, None)
+
+    def records(key: tuple, length: int, size: int) -> Iterator[bytes]:
+        nonlocal ahead
+        total = 0
+        while ahead is not None and ahead[:2] == key:
+            value = ahead[4]
+            total += len(value) + len(RECORD_END)
+            ahead = next(rows, None)
+            yield value if length >= size and total > size else value + RECORD_END.encode()
+
+    while ahead is not None:
+        path, start, length, size, _ = ahead
+        yield path, start, length, size, records((path, start), length, size)
+
+
+def _pieces(records: Iterator[bytes], start: int, last: bool, odd: tuple[int, str] | None) -> Iterator[tuple[str, str]]:
+    """(kind, text) of all entries and pieces of a split; ``odd`` is the mode it begins in and its file's encoding."""
+    end = RECORD_END.encode()
+    mode, encoding = odd or (entry_cut.TEXT, entry_cut.UTF8)
+    first = next(records, b"")
+    if start == 0:
+        encoding = entry_cut.declared_encoding(first)
+        if encoding == "utf-16":   # has no such record ends: the record is the file
+            first, encoding = first.removesuffix(end).decode("utf-16").encode(), entry_cut.UTF8
+    cutter = entry_cut.EntryCutter(mode, leading=start > 0)
+    for data in chain([first], records):
+        for kind, text in cutter.feed(data):
+            yield kind, entry_cut.decoded(text, encoding)
+    for kind, text in cutter.feed(b"", True):
+        if last and start > 0 and kind == entry_cut.OPEN and not text.endswith(b"<" + end):
+            text = text.removesuffix(end)   # the file's last record had no such end
+        yield kind, entry_cut.decoded(text, encoding)
+
+
+def _cut(odd: dict[tuple[str, int], tuple[int, str]], pieces: bool):
+    """Entries of each split, or with ``pieces`` what reaches over the borders of files' splits instead."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+        for path, start, length, size, records in _splits(batches):
+            for kind, text in _pieces(records, start, start + length >= size, odd.get((path, start))):
+                if kind == entry_cut.OPEN and length >= size:
+                    kind = entry_cut.ENTRY
+                if (kind == entry_cut.ENTRY) != pieces:
+                    out.append((path, start, kind, text))
+                    held += len(text)
+                    if len(out) >= _BATCH_ENTRIES or held >= _BATCH_BYTES:
+                        yield _rows(out)
+                        out, held = [], 0
+        if out:
+            yield _rows(out)
+
+    return run
+
+
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.int64(), pa.string(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["path", "start", "kind", "entry_xml"])
+
+
+_CUT_ROWS = "path string, start long, kind string, entry_xml string"
+_MODES = "path string, start long, ends array<int>, encoding string"
+
+
+def _modes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each split, the mode it ends in for each mode it may begin in, and the encoding a file's first split names."""
+    out = []
+    for path, start, _, _, records in _splits(batches):
+        ends, encoding = list(range(4)), None
+        for data in records:
+            if start == 0 and encoding is None:
+                encoding = entry_cut.declared_encoding(data)
+            after = {mode: entry_cut.mode_after(mode, data) for mode in set(ends)}
+            ends = [after[mode] for mode in ends]
+        out.append((path, start, ends, encoding))
+    types = (pa.string(), pa.int64(), pa.list_(pa.int32()), pa.string())
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["path", "start", "ends", "encoding"])
+
+
+def _odd_splits(splits: DataFrame) -> dict[tuple[str, int], tuple[int, str]]:
+    """(mode, encoding) of the splits behind a file's first one that begin in a section, or in another encoding than UTF-8."""
+    modes = splits.mapInArrow(_modes, _MODES)
+    of_file = modes.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("start", "ends"))).alias("s"), F.max("encoding").alias("encoding"))
+    begun = F.aggregate(
+        "s", F.struct(F.lit(entry_cut.TEXT).alias("mode"), F.array().cast("array<struct<start:bigint,mode:int>>").alias("out")),
+        lambda seen, s: F.struct(F.get(s["ends"], seen["mode"]).alias("mode"),
+                                 F.array_append(seen["out"], F.struct(s["start"].alias("start"), seen["mode"].alias("mode"))).alias("out")),
+        lambda seen: seen["out"])
+    odd = (of_file.select("path", "encoding", F.explode(begun).alias("b")).select("path", "b.start", "b.mode", "encoding")
+           .where((F.col("start") > 0) & ((F.col("mode") != entry_cut.TEXT) | (F.col("encoding") != entry_cut.UTF8))))
+    rows = odd.limit(MOST_ODD_SPLITS + 1).collect()
+    if len(rows) > MOST_ODD_SPLITS:
+        raise ValueError(f"more than {MOST_ODD_SPLITS} splits begin in a section or in another encoding than UTF-8; scan fewer periods at a time")
+    return {(r.path, r.start): (r.mode, r.encoding) for r in rows}
+
+
+def _stitched(pieces: DataFrame) -> DataFrame:
+    """Entries put together from their pieces; a few rows a split, so these are shuffled, by file and entry."""
+    in_file = Window.partitionBy("path").orderBy("start", F.when(F.col("kind") == entry_cut.LEAD, 0).when(F.col("kind") == entry_cut.THROUGH, 1).otherwise(2))
+    numbered = pieces.withColumn("entry", F.sum(F.when(F.col("kind") == entry_cut.OPEN, 1).otherwise(0)).over(in_file))
+    # text before a file's first entry, or between two, is no piece of an entry; an end tag without a start is malformed
+    after = F.lag("kind").over(in_file)
+    loose = (F.col("kind") == entry_cut.THROUGH) & F.coalesce(after == entry_cut.LEAD, F.lit(False))
+    kept = numbered.withColumn("loose", loose).where(~F.col("loose") & ((F.col("entry") > 0) | (F.col("kind") == entry_cut.LEAD)))
+    texts = kept.groupBy("path", "entry").agg(F.array_sort(F.collect_list(F.struct("start", "entry_xml"))).alias("p"))
+    return texts.select("path", F.array_join("p.entry_xml", "").alias("entry_xml"))
 
 
 def read_entry_texts(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
@@ -131,14 +256,43 @@ def read_entry_texts(spark: SparkSession, root: str, paths: list[str] | None = N
     unselected periods are never listed or read).
     """
     full, root_path = qualified(spark, root)
-    reader = (spark.read.format("text")
-              .option("lineSep", ENTRY_START)
-              .option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", FEED_GLOB))
-    raw = reader.load(paths if paths else full)
-    raw = raw.select(F.col("value"), F.col("_metadata.file_path").alias("path"))
-    raw = raw.withColumn("period", period_from_path(F.col("path"), root_path)).where(F.col("period") != F.lit(""))
-    return split_entries(raw)
+    raw = (spark.read.format("text")
+           .option("lineSep", RECORD_END)
+           .option("recursiveFileLookup", "true")
+           .option("pathGlobFilter", FEED_GLOB)
+           .load(paths if paths else full))
+    meta = F.col("_metadata")
+    columns = [meta["file_path"].alias("path"), meta["file_block_start"].alias("start"), meta["file_block_length"].alias("length"),
+               meta["file_size"].alias("size"), F.col("value").cast("binary").alias("value")]
+    splits = raw.select(*columns)
+    least = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(LEAST_SPLIT))
+    largest = list_feed_files(spark, root, paths).agg(F.max("length")).first()[0] or 0
+    if largest <= least:
+        texts = splits.mapInArrow(_cut({}, False), _CUT_ROWS).select("path", "entry_xml")
+    else:
+        large = raw.where(meta["file_size"] > least).select(*columns)
+        odd = _odd_splits(large)
+        path = scratch_path(spark, "entry-pieces")
+        large.mapInArrow(_cut(odd, True), _CUT_ROWS).write.parquet(path)
+        pieces = spark.read.schema(_CUT_ROWS).parquet(path)
+        texts = splits.mapInArrow(_cut(odd, False), _CUT_ROWS).select("path", "entry_xml").unionByName(_stitched(pieces))
+    return (texts.withColumn("period", period_from_path(F.col("path"), root_path)).where(F.col("period") != F.lit(""))
+                 .select("period", "path", "entry_xml"))
+
+
+def cut_documents(files: DataFrame, content_col: str = "content") -> DataFrame:
+    """Rows with a whole feed file's bytes -> one row for each of its entries, in ``entry_xml``."""
+    others = [c for c in files.columns if c != content_col]
+    schema = files.select(*others, F.lit("").alias("entry_xml")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                texts = list(entry_cut.cut_file(iter([batch.column(len(others))[row].as_py() or b""])))
+                same = [pa.repeat(batch.column(k)[row], len(texts)) for k in range(len(others))]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(texts, pa.string())], schema.names)
+
+    return files.select(*others, F.col(content_col).cast("binary")).mapInArrow(run, schema)
 
 
 def read_entries_strict(spark: SparkSession, root: str, paths: list[str] | None = None,
@@ -154,7 +308,11 @@ def read_entries_strict(spark: SparkSession, root: str, paths: list[str] | None
               .schema(ddl))
     df = reader.load(paths if paths else full)
     cols = [F.col(c) for c in df.columns]
-    df = df.select(F.struct(*cols).alias("e"), F.col("_metadata.file_path").alias("path"))
+    e = F.struct(*cols)
+    if mode.upper() == "PERMISSIVE":
+        # Spark refuses to read the malformed text alone; a generator keeps the other columns beside it
+        e = F.explode(F.array(e))
+    df = df.select(e.alias("e"), F.col("_metadata.file_path").alias("path"))
     return (df.withColumn("period", period_from_path(F.col("path"), root_path))
               .where(F.col("period") != F.lit("")))
 

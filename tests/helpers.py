@@ -3,14 +3,12 @@
 from pyspark.sql import functions as F
 
 from tenderlake.operators.entries import to_entries
-from tenderlake.sources.xml_feed import parse_entries, split_entries
+from tenderlake.sources.xml_feed import cut_documents, parse_entries
 
 
 def entries_of(spark, feed_text: str, keep_raw_xml: bool = False):
-    """Cut a whole feed document at <entry (as the text scan does), parse and project."""
-    parts = feed_text.split("<entry")
-    recs = spark.createDataFrame([(p,) for p in parts], "value string")
-    texts = split_entries(recs)
+    """Cut a whole feed document into entries, parse and project."""
+    texts = cut_documents(spark.createDataFrame([(feed_text.encode(),)], "content binary"))
     parsed = parse_entries(texts, keep_raw_xml=keep_raw_xml)
     return to_entries(parsed, raw_xml_col="raw_block" if keep_raw_xml else None)
 

@@ -131,11 +131,9 @@ def test_atom_fields_with_attributes_and_blanks(spark):
 def test_pruned_parse_matches_full_parse(spark):
     from tenderlake.operators.entries import to_entries
     from tenderlake.schema import BLOCK_MEMBERS_FOR
-    from tenderlake.sources.xml_feed import parse_entries, split_entries
+    from tenderlake.sources.xml_feed import cut_documents, parse_entries
 
-    recs = spark.createDataFrame([(p,) for p in feed(BLOCK, "<entry><id>z</id></entry>").split("<entry")],
-                                 "value string")
-    texts = split_entries(recs)
+    texts = cut_documents(spark.createDataFrame([(feed(BLOCK, "<entry><id>z</id></entry>").encode(),)], "content binary"))
     full = {r.id: r.asDict(recursive=True) for r in to_entries(parse_entries(texts)).collect()}
     for col in BLOCK_MEMBERS_FOR:
         part = to_entries(parse_entries(texts, columns=["id", col]), columns=["id", col]).select("id", col).collect()
@@ -164,8 +162,8 @@ def test_lot_ids_right_below_a_result(spark):
 
 def test_columns_not_parsed_are_not_returned(spark):
     from tenderlake.operators.entries import to_entries
-    from tenderlake.sources.xml_feed import parse_entries, split_entries
+    from tenderlake.sources.xml_feed import cut_documents, parse_entries
 
-    texts = split_entries(spark.createDataFrame([(p,) for p in feed(BLOCK).split("<entry")], "value string"))
+    texts = cut_documents(spark.createDataFrame([(feed(BLOCK).encode(),)], "content binary"))
     part = to_entries(parse_entries(texts, columns=["contract_id"]), columns=["contract_id"])
     assert part.columns == ["id", "title", "link", "summary", "updated", "contract_id"]
