@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tenderlake.session import scratch_path
 from tenderlake.sources import entry_cut
 from tenderlake.sources.fsio import qualified
+from tenderlake.sources.scopes import canonical
 from tenderlake.schema import (
     ATOM_FIELDS,
     CONTRACT_FOLDER_MEMBERS,
@@ -195,12 +196,28 @@ def _cut(odd: dict[tuple[str, int], tuple[int, str]], pieces: bool):
     return run
 
 
+#: An entry with leaves at other places than the read schema lists, with all of them at listed ones; null for the others.
+CANONICAL = "canonical_xml"
+_CUT_ROWS = f"path string, start long, kind string, entry_xml string, {CANONICAL} string"
+
+
 def _rows(out: list[tuple]) -> pa.RecordBatch:
     types = (pa.string(), pa.int64(), pa.string(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["path", "start", "kind", "entry_xml"])
+    columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
+    moved = pa.array([canonical(text) if kind == entry_cut.ENTRY else None for _, _, kind, text in out], pa.string())
+    return pa.RecordBatch.from_arrays([*columns, moved], ["path", "start", "kind", "entry_xml", CANONICAL])
+
 
+def with_canonical(texts: DataFrame) -> DataFrame:
+    """``texts`` with the column CANONICAL after its others, of which the last is ``entry_xml``."""
+    schema = texts.withColumn(CANONICAL, F.lit("")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            moved = [canonical(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(moved, pa.string())], schema.names)
 
-_CUT_ROWS = "path string, start long, kind string, entry_xml string"
+    return texts.mapInArrow(run, schema)
 _MODES = "path string, start long, ends array<int>, encoding string"
 
 
@@ -250,7 +267,7 @@ def _stitched(pieces: DataFrame) -> DataFrame:
 
 
 def read_entry_texts(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
-    """S2 (text form): ``(period, path, entry_xml)`` for every entry of every feed file.
+    """S2 (text form): ``(period, path, entry_xml, canonical_xml)`` for every entry of every feed file.
 
     ``paths`` restricts the scan to those directories/files (built from selected periods, so
     unselected periods are never listed or read).
@@ -268,20 +285,20 @@ def read_entry_texts(spark: SparkSession, root: str, paths: list[str] | None = N
     least = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(LEAST_SPLIT))
     largest = list_feed_files(spark, root, paths).agg(F.max("length")).first()[0] or 0
     if largest <= least:
-        texts = splits.mapInArrow(_cut({}, False), _CUT_ROWS).select("path", "entry_xml")
+        texts = splits.mapInArrow(_cut({}, False), _CUT_ROWS).select("path", "entry_xml", CANONICAL)
     else:
         large = raw.where(meta["file_size"] > least).select(*columns)
         odd = _odd_splits(large)
         path = scratch_path(spark, "entry-pieces")
         large.mapInArrow(_cut(odd, True), _CUT_ROWS).write.parquet(path)
         pieces = spark.read.schema(_CUT_ROWS).parquet(path)
-        texts = splits.mapInArrow(_cut(odd, False), _CUT_ROWS).select("path", "entry_xml").unionByName(_stitched(pieces))
+        texts = splits.mapInArrow(_cut(odd, False), _CUT_ROWS).select("path", "entry_xml", CANONICAL).unionByName(with_canonical(_stitched(pieces)))
     return (texts.withColumn("period", period_from_path(F.col("path"), root_path)).where(F.col("period") != F.lit(""))
-                 .select("period", "path", "entry_xml"))
+                 .select("period", "path", "entry_xml", CANONICAL))
 
 
 def cut_documents(files: DataFrame, content_col: str = "content") -> DataFrame:
-    """Rows with a whole feed file's bytes -> one row for each of its entries, in ``entry_xml``."""
+    """Rows with a whole feed file's bytes -> one row for each of its entries, in ``entry_xml`` and ``canonical_xml``."""
     others = [c for c in files.columns if c != content_col]
     schema = files.select(*others, F.lit("").alias("entry_xml")).schema
 
@@ -292,7 +309,7 @@ def cut_documents(files: DataFrame, content_col: str = "content") -> DataFrame:
                 same = [pa.repeat(batch.column(k)[row], len(texts)) for k in range(len(others))]
                 yield pa.RecordBatch.from_arrays([*same, pa.array(texts, pa.string())], schema.names)
 
-    return files.select(*others, F.col(content_col).cast("binary")).mapInArrow(run, schema)
+    return with_canonical(files.select(*others, F.col(content_col).cast("binary")).mapInArrow(run, schema))
 
 
 def read_entries_strict(spark: SparkSession, root: str, paths: list[str] | None = None,
@@ -322,15 +339,17 @@ def parse_entries(texts: DataFrame, text_col: str = "entry_xml", mode: str = "FA
     """Add the parsed RAW struct ``e`` (and ``raw_block`` when asked) to a frame of entry texts.
 
     ``columns`` (output column names) limits the parse to the contract-block members those
-    columns are computed from; by default everything is parsed.
+    columns are computed from; by default everything is parsed. Of an entry with a text in the
+    column CANONICAL, if there is one, that text is parsed.
     """
     members = block_members_for(columns)
     ddl = RAW_ENTRY_DDL if members is None else raw_entry_ddl(members)
     # The parse is produced by a generator so that the optimizer cannot inline the
     # (expensive) from_xml call into every later use of ``e`` or into pushed-down filters:
     # each entry is parsed exactly once.
-    cols = [F.col(c) for c in texts.columns]
-    out = texts.select(*cols, F.explode(F.array(parse_entry_text(F.col(text_col), mode, ddl))).alias("e"))
+    cols = [F.col(c) for c in texts.columns if c != CANONICAL]
+    text = F.coalesce(CANONICAL, text_col) if CANONICAL in texts.columns else F.col(text_col)
+    out = texts.select(*cols, F.explode(F.array(parse_entry_text(text, mode, ddl))).alias("e"))
     if members is not None:
         out = out.withColumn("e", _widen(F.col("e"), members, mode.upper() == "PERMISSIVE"))
     if keep_raw_xml:
