@@ -73,9 +73,9 @@ _BY_LEAF: dict[str, list[int]] = {}
 for _k, _rule in enumerate(RULES):
     _BY_LEAF.setdefault(_rule[1], []).append(_k)
 
-_BLOCKS = re.compile(rf"<((?:[^\s<>/:!?]+:)?{BLOCK})(?=[\s>]).*?</\1\s*>", re.S)
-_NAMES = re.compile(r"<(/?[^\s<>/!?]+(?:[^<>]*/(?=>))?)")
-_CHUNKS = re.compile(rf"\x00(?=(?:[^\x00:/]+:)?(?:{LOT}|{RESULT})(?:\x00|\Z))")
+_START = re.compile(r"<((?:[^\s<>/:!?]+:)?)\Z")
+_TEXT = re.compile(r">[^<]+")
+_TAGS = re.compile(r"<([^>]*)>")
 _TOKENS = re.compile(r"""<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<(/?)(?:[^\s<>/:!?]+:)?([^\s<>/:!?]+)((?:[^<>"']+|"[^"]*"|'[^']*')*?)(/?)>""", re.S)
 
 
@@ -138,30 +138,74 @@ def _after(open_: tuple[str, ...], read: tuple[tuple[int, int], ...], chunk: str
 
 def _walked(open_: tuple[str, ...], read: tuple[tuple[int, int], ...], chunk: str) -> tuple[tuple, tuple, bool] | None:
     walk = _Walk(open_, read)
-    for tag in chunk.split("\x00"):
-        empty, tag = tag.endswith("/"), tag.rstrip("/").split(None, 1)[0]
-        if tag.startswith("/"):
-            if not walk.end(tag[1:].rpartition(":")[2]):
+    for tag in _TAGS.findall(chunk):
+        name = tag.split(None, 1)[0].rstrip("/") if tag.strip() else ""
+        if name.startswith("/"):
+            if not walk.end(name[1:].rpartition(":")[2]):
                 return None
+        elif not name:
+            return None
         else:
-            walk.start(tag.rpartition(":")[2], empty)
+            walk.start(name.rpartition(":")[2], tag.endswith("/"))
     return tuple(walk.open), tuple(sorted((k, at) for k, at in walk.read.items() if at)), walk.regular
 
 
+def _chunks(tags: str) -> list[str]:
+    """The tags' runs, each up to the next lot or result."""
+    joined = [tags]
+    for name in (LOT, RESULT):
+        end = joined[-1].find(name)
+        if end >= 0:
+            # the start tag as it is first written; another way of writing it only makes longer runs
+            tag = joined[-1][joined[-1].rfind("<", 0, end) : end] + name + ">"
+            first, *rest = joined.pop().split(tag)
+            joined += [first, *(tag + r for r in rest)]
+    return joined
+
+
 def is_regular(inner: str) -> bool:
     """Whether the text inside a block needs no rewriting (or is no XML, which the parse will tell)."""
-    if "<!" in inner or "<?" in inner:
-        inner = re.sub(r"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>", "", inner, flags=re.S)
-    tags = "\x00".join(_NAMES.findall(inner))
     state: tuple[tuple, tuple] = ((), ())
-    for chunk in _CHUNKS.split(tags) if tags else ():
-        after = _after(*state, chunk)
-        if after is None:
-            return True
-        if not after[2]:
-            return False
-        state = after[:2]
-    return True
+    if "<!" not in inner and "<?" not in inner:
+        for chunk in _chunks(_TEXT.sub(">", inner)):
+            after = _after(*state, chunk)
+            if after is None:
+                break
+            if not after[2]:
+                return False
+            state = after[:2]
+        else:
+            if not state[0]:
+                return True
+    # sections, or ">" in an attribute: tag by tag
+    walk = _Walk()
+    for m in _TOKENS.finditer(inner):
+        slash, name, _, empty = m.groups()
+        if name is not None:
+            if not slash:
+                walk.start(name, bool(empty))
+            elif not walk.end(name):
+                return True
+    return walk.regular
+
+
+def _blocks(entry: str) -> list[tuple[int, int]]:
+    """Where the insides of an entry's contract blocks start and end."""
+    out, at = [], 0
+    while (found := entry.find(BLOCK, at)) >= 0:
+        at = found + len(BLOCK)
+        m = _START.search(entry, max(0, found - 64), found)
+        if m is None or entry[at : at + 1] not in (">", " ", "\n", "\t", "\r"):
+            continue
+        close = f"</{m[1]}{BLOCK}"
+        end = entry.find(close, at)
+        while end >= 0 and entry[end + len(close) : end + len(close) + 1] not in (">", " ", "\n", "\t", "\r"):
+            end = entry.find(close, end + 1)
+        start = entry.find(">", at) + 1
+        if end >= start > 0 and entry[start - 2] != "/":
+            out.append((start, end))
+            at = end + len(close)
+    return out
 
 
 def _wrapped(leaves: dict[int, list[str]], container: str) -> str:
@@ -212,14 +256,10 @@ def _add(groups: list, current: dict, k: int, text: str) -> None:
 
 def canonical(entry: str) -> str | None:
     """The entry with its irregular blocks rewritten; null if there are none."""
-    if BLOCK not in entry:
-        return None
-    out, at, changed = [], 0, False
-    for m in _BLOCKS.finditer(entry):
-        block = m[0]
-        start, end = block.index(">") + 1, block.rindex("</")
-        inner = block[start:end]
+    out, at = [], 0
+    for start, end in _blocks(entry):
+        inner = entry[start:end]
         if not is_regular(inner) and (new := rewritten(inner)) is not None:
-            out += [entry[at : m.start() + start], new]
-            at, changed = m.start() + end, True
-    return "".join([*out, entry[at:]]) if changed else None
+            out += [entry[at:start], new]
+            at = end
+    return "".join([*out, entry[at:]]) if out else None
