@@ -4,20 +4,20 @@ A run is summarised per group from per-item rows ``(group, bytes, seconds, error
 items processed and skipped, total size in MiB, elapsed time as ``HH:MM:SS``, throughput in
 MiB/s (the size itself when no time elapsed), the number of errors and the first message.
 Every aggregate is of constant size per group and aggregated before its shuffle. The messages
-themselves stay rows; ``joined_errors`` joins them where a group is bounded by its nature.
+themselves stay rows; ``joined_errors`` joins them into rows of bounded length.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderlake.functions.scalars import format_duration, mb_from_bytes, round_two, throughput
+from tenderlake.session import scratch_path
 
 ERROR_SEPARATOR = "; "
-
-
-round2 = round_two
+#: Characters of joined messages in one row.
+ERROR_CHARACTERS = 1 << 20
 
 
 def files_by_period(files: DataFrame) -> DataFrame:
@@ -41,20 +41,34 @@ def summarize(items: DataFrame, group: str, bytes_col: str = "bytes", seconds_co
     mb = mb_from_bytes(F.col("total_bytes"))
     return g.select(
         group, "processed", "skipped", "total_bytes",
-        round2(mb).alias("size_mb"),
+        round_two(mb).alias("size_mb"),
         format_duration(F.col("seconds")).alias("elapsed"),
-        round2(throughput(mb, F.col("seconds"))).alias("throughput_mb_s"),
+        round_two(throughput(mb, F.col("seconds"))).alias("throughput_mb_s"),
         "n_errors", "first_error",
     )
 
 
-def joined_errors(items: DataFrame, group: str, error_col: str = "error") -> DataFrame:
-    """A10: the messages of each group joined with ``'; '``, in their order.
+def joined_errors(items: DataFrame, group: str, error_col: str = "error", limit: int = ERROR_CHARACTERS) -> DataFrame:
+    """A10: ``(group, part, errors)``, the messages of each group joined with ``'; '``, in their order.
 
-    For groups that are small by their nature, such as the archives of a period.
+    A group's text is cut into numbered parts: a message belongs to the part in which it starts, at ``limit``
+    characters a part, so no row holds more than that and one message. No group is read by one task either: the
+    messages are dealt by ranges of (group, message), each range adds up its lengths, and where a range's part of a
+    group starts follows from the few sums before it.
     """
-    messages = items.where(F.col(error_col).isNotNull())
-    return messages.groupBy(group).agg(F.array_join(F.array_sort(F.collect_list(error_col)), ERROR_SEPARATOR).alias("errors"))
+    spark = items.sparkSession
+    messages = items.where(F.col(error_col).isNotNull()).select(F.col(group).alias("g"), F.col(error_col).alias("m"), F.monotonically_increasing_id().alias("k"))
+    path = scratch_path(spark, "messages")
+    messages.repartitionByRange("g", "m", "k").withColumn("r", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.schema(messages.withColumn("r", F.lit(0)).schema).parquet(path).withColumn("n", F.length("m") + F.lit(len(ERROR_SEPARATOR)))
+    sums = ranged.groupBy("g", "r").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("g").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("g", "r", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("g", "r").orderBy("m", "k").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("at", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(starts, ["g", "r"])
+    part = F.floor((F.col("start") + F.col("at")) / F.lit(limit)).cast("long")
+    parts = placed.withColumn("part", part).groupBy("g", "part").agg(F.array_sort(F.collect_list(F.struct("m", "k"))).alias("ms"))
+    return parts.select(F.col("g").alias(group), "part", F.array_join("ms.m", ERROR_SEPARATOR).alias("errors"))
 
 
 def directory_size(spark, path: str) -> DataFrame:

@@ -17,7 +17,7 @@ from tenderlake.operators import periods as P
 from tenderlake.operators.entries import to_entries
 from tenderlake.plans.feed_files import feed_root
 from tenderlake.session import scratch_path
-from tenderlake.sinks.table import COMPACT_BYTES, empty_entries, read_entries, table_files, write_entries
+from tenderlake.sinks.table import COMPACT_BYTES, compact_stored, empty_entries, read_entries, table_files, write_entries
 from tenderlake.sources.archives import read_archive_entries
 from tenderlake.sources.fsio import folders
 from tenderlake.sources.xml_feed import list_feed_files, parse_entries, read_entries_strict, read_entry_texts
@@ -282,6 +282,41 @@ def compact_counts(spark, sf_dir):
     return rows.join(files, "period").select("period", "n_entries", (F.col("n_files") <= most).alias("compacted"))
 
 
+FILE_ROWS = 20
+
+
+def _order_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as stored entry rows; a status is a procurement type's alias."""
+    alias = F.when(F.col("o_orderstatus") == "F", "MC").when(F.col("o_orderstatus") == "O", " Public-Tenders ").otherwise("minor-contracts")
+    rows = _t(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("title"),
+        S.procurement_type(alias).alias("procurement_type"), _month("o_orderdate").alias("period"))
+    return empty_entries(spark).unionByName(rows, allowMissingColumns=True)
+
+
+def compact_small_files(spark, sf_dir):
+    """K3 + S4 on a stored table: files of 20 rows are compacted where a partition holds several; exact file counts."""
+    out = scratch_path(spark, "table-of-small-files")
+    write_entries(_order_entries(spark, sf_dir), out, compact=True, max_records_per_file=FILE_ROWS)
+    counted = lambda name: table_files(spark, out).groupBy("procurement_type", "period").agg(F.count("*").alias(name))
+    before = spark.createDataFrame(counted("files_before").collect(), "procurement_type string, period string, files_before long")
+    plan = compact_stored(spark, out)
+    done = plan.select("procurement_type", "period", F.lit(True).alias("compacted"))
+    rows = read_entries(spark, out).groupBy("procurement_type", "period").agg(
+        F.count("*").alias("n_entries"), F.sum(F.col("id").cast("long")).alias("key_sum"))
+    keys = ["procurement_type", "period"]
+    return (rows.join(before, keys).join(counted("files_after"), keys).join(done, keys, "left")
+            .select(*keys, "n_entries", "key_sum", "files_before", "files_after", F.coalesce("compacted", F.lit(False)).alias("compacted")))
+
+
+def type_partitions(spark, sf_dir):
+    """F12 as the partition filter it is: of a table with both types, the folders of one are read."""
+    out = scratch_path(spark, "table-of-both-types")
+    write_entries(_order_entries(spark, sf_dir), out, compact=True)
+    t = read_entries(spark, out).where(F.col("procurement_type") == S.procurement_type(F.lit("Minor-Contracts ")))
+    return t.groupBy("procurement_type", "period").agg(F.count("*").alias("n_entries"), F.countDistinct("title").alias("n_titles"))
+
+
 def period_overwrite(spark, sf_dir):
     """K1 + K4: full write, then a second run over 1995 only with another feed; other periods stay."""
     out = scratch_path(spark, "table")
@@ -359,7 +394,18 @@ def period_errors(spark, sf_dir):
     """A10: per order month, the messages of its archives (one per status; one with an odd number of orders fails)."""
     items = _t(spark, sf_dir, "orders").groupBy(_month("o_orderdate").alias("period"), "o_orderstatus").agg(F.count("*").alias("n"))
     error = F.when(F.col("n") % 2 == 1, F.concat(F.lit("archive "), "o_orderstatus", F.lit(": "), F.col("n").cast("string"), F.lit(" orders")))
-    return MT.joined_errors(items.select("period", error.alias("error")), "period")
+    return MT.joined_errors(items.select("period", error.alias("error")), "period").select("period", "errors")
+
+
+PART_CHARACTERS = 400
+
+
+def error_parts(spark, sf_dir):
+    """A10 in rows of bounded length: one message per order of a status, in parts of 400 characters."""
+    o = _t(spark, sf_dir, "orders")
+    message = F.concat(F.lit("order "), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), F.lit(" of "), "o_orderpriority")
+    parts = MT.joined_errors(o.select("o_orderstatus", message.alias("error")), "o_orderstatus", limit=PART_CHARACTERS)
+    return parts.select("o_orderstatus", "part", F.length("errors").alias("n_chars"), F.md5("errors").alias("digest"))
 
 
 def stream_by_period(spark, sf_dir):
@@ -420,6 +466,9 @@ def queries() -> dict:
         "empty_result": empty_result,
         "range_reasons": range_reasons,
         "period_errors": period_errors,
+        "error_parts": error_parts,
+        "compact_small_files": compact_small_files,
+        "type_partitions": type_partitions,
         "stream_by_period": stream_by_period,
     }
 
@@ -586,6 +635,16 @@ FROM orders""",
         "range_reasons": """WITH o AS (SELECT strftime(o_orderdate, '%Y%m') AS m, strftime(o_orderdate, '%Y') AS y, substr(o_orderpriority, 1, 3) AS p FROM orders),
 r AS (SELECT m AS "start", y AS "end" FROM o UNION SELECT y, m FROM o UNION SELECT m, p FROM o)
 SELECT "start", "end", CASE WHEN NOT regexp_full_match("end", '[0-9]+') THEN 'non_digit' WHEN "start" > "end" THEN 'reversed' END AS reason FROM r""",
+        "error_parts": f"""WITH m AS (SELECT o_orderstatus, 'order ' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || ' of ' || o_orderpriority AS m FROM orders),
+p AS (SELECT *, coalesce(sum(length(m) + 2) OVER (PARTITION BY o_orderstatus ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM m),
+j AS (SELECT o_orderstatus, CAST(floor(start / {PART_CHARACTERS}) AS BIGINT) AS part, string_agg(m, '; ' ORDER BY m) AS errors FROM p GROUP BY ALL)
+SELECT o_orderstatus, part, CAST(length(errors) AS INTEGER) AS n_chars, md5(errors) AS digest FROM j""",
+        "compact_small_files": f"""SELECT CASE WHEN o_orderstatus = 'O' THEN 'public-tenders' ELSE 'minor-contracts' END AS procurement_type,
+       strftime(o_orderdate, '%Y%m') AS period, count(*) AS n_entries, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
+       CAST(ceil(count(*) / {FILE_ROWS}.0) AS BIGINT) AS files_before, CAST(1 AS BIGINT) AS files_after, count(*) > {FILE_ROWS} AS compacted
+FROM orders GROUP BY 1, 2""",
+        "type_partitions": """SELECT 'minor-contracts' AS procurement_type, strftime(o_orderdate, '%Y%m') AS period, count(*) AS n_entries,
+       count(DISTINCT o_orderpriority) AS n_titles FROM orders WHERE o_orderstatus <> 'O' GROUP BY 2""",
         "period_errors": """WITH a AS (SELECT strftime(o_orderdate, '%Y%m') AS period, o_orderstatus AS s, count(*) AS n FROM orders GROUP BY ALL)
 SELECT period, string_agg('archive ' || s || ': ' || CAST(n AS VARCHAR) || ' orders', '; ' ORDER BY s) AS errors
 FROM a WHERE n % 2 = 1 GROUP BY period""",

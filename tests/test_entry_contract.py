@@ -10,6 +10,8 @@ def test_entry_runs(spark):
 
 
 def test_queries_have_oracles():
+    from tenderlake.plans import catalog
+
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(o) <= set(q)
+    assert set(o) <= set(q) and set(catalog.queries()) == set(catalog.oracle_sql())
     assert len(q) >= 40
