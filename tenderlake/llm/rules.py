@@ -31,7 +31,6 @@ MIN_WORDS = 50
 CLEAN, DOUBT = 0.95, 0.05
 PRIOR = 1.0
 #: ``estimate`` by default: a rule's votes against good documents are at most this share. One vote against then rejects.
-MAX_FALSE = 0.002
 #: What ``judged`` asks of every rule instead: to be no worse than chance on good documents.
 FAIR = 0.5
 ROUNDS = 20
@@ -128,7 +127,7 @@ def _posterior(logit: Column) -> Column:
     return 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-500.0)), F.lit(500.0))))
 
 
-def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS, least: float = 1 - MAX_FALSE) -> dict:
+def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS, least: float = FAIR) -> dict:
     """Expectation-maximisation over ``patterns`` (a column of votes for each name, and n rows with them).
 
     ``least`` is the smallest rate at which a rule may be taken to vote for good documents.
@@ -160,7 +159,7 @@ def judged(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -
     rules = votes()
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     counted = stats.where(~failed).select(*[v.alias(k) for k, v in rules.items()]).groupBy(*rules).agg(F.count(F.lit(1)).alias("n"))
-    model = estimate(written(spark, counted, "vote-patterns"), list(rules), least=FAIR)
+    model = estimate(written(spark, counted, "vote-patterns"), list(rules))
     return (
         stats.withColumn("base_failed", failed)
         .withColumn("posterior", _posterior(_logit(model, rules)))

@@ -44,7 +44,7 @@ def plain_em(patterns, names, rounds):
         b = [n * (1 - x) for (_, n), x in zip(patterns, q)]
         model = {"good": rate(sum(g), sum(g) + sum(b))}
         for k, name in enumerate(names):
-            up = max(rate(sum(w for (v, _), w in zip(patterns, g) if v[k] == 1), sum(w for (v, _), w in zip(patterns, g) if v[k] is not None)), 1 - rules.MAX_FALSE)
+            up = max(rate(sum(w for (v, _), w in zip(patterns, g) if v[k] == 1), sum(w for (v, _), w in zip(patterns, g) if v[k] is not None)), rules.FAIR)
             bad = rate(sum(w for (v, _), w in zip(patterns, b) if v[k] == 1), sum(w for (v, _), w in zip(patterns, b) if v[k] is not None))
             model[name] = (up, min(up, bad))
         q = []
