@@ -5,7 +5,7 @@ one of the reversed terms. A word matches a term at up to one edit (from ``FUZZY
 automaton of the word meets the term's path in the trie. One edit leaves the first or the second half of the word
 as it is, so the automaton starts below the half that matches exactly, forwards or backwards.
 
-Context: a match counts as quoted if quotation marks open before and close after it within ``WINDOW`` words, or a
+Context: a match counts as quoted if a quotation is open at it and closes after it, both within ``WINDOW`` words, or a
 word of reporting stands just before it; other matches near it and words of address strengthen it. A logistic
 regression weighs exact, misspelled and quoted matches into a score.
 
@@ -136,6 +136,20 @@ class Lexicon:
         return max(found, default=None)
 
 
+def _closes(word: str) -> bool:
+    """Whether a quotation ends with this word."""
+    end = word.rstrip(".,;:!?")
+    return len(end) > 1 and end[-1] in _CLOSE
+
+
+def _still_open(words: list[str]) -> bool:
+    """Whether a quotation that opens within ``words`` is open at the last of them."""
+    open_ = False
+    for word in words[:-1]:
+        open_ = (open_ or word[0] in _OPEN) and not _closes(word)
+    return open_ or words[-1][0] in _OPEN
+
+
 def evidence(text: str | None, lexicon: Lexicon, cache: dict) -> np.ndarray:
     """The context-window sums of one text: exact, misspelled, quoted, strongest, crowding, address, share of words."""
     raw = (text or "").lower().split()
@@ -153,9 +167,7 @@ def evidence(text: str | None, lexicon: Lexicon, cache: dict) -> np.ndarray:
     exact = fuzzy = quoted = strongest = crowd = address = 0.0
     for k, (i, weight, edits) in enumerate(hits):
         before, after = raw[max(0, i - WINDOW) : i + 1], raw[i : i + WINDOW + 1]
-        opened = any(x[0] in _OPEN for x in before)
-        closed = any(x.rstrip(".,;:!?")[-1:] in _CLOSE and len(x) > 1 for x in after)
-        if (opened and closed) or any(spelled(x) in _REPORTS for x in before[-4:-1]):
+        if (_still_open(before) and any(map(_closes, after))) or any(spelled(x) in _REPORTS for x in before[-4:-1]):
             quoted += weight
             continue
         if edits:

@@ -41,6 +41,10 @@ def test_quotation_is_told_from_abuse():
     typo = tx.evidence("you are a nasty-word and nastywrd indeed", lexicon, {})
     quoted = tx.evidence('the term "nastyword" is listed here', lexicon, {})
     assert plain[0] > 0 == plain[2] and typo[1] > 0 and quoted[2] > 0 == quoted[0]
+    # another quotation before it, or a word of punctuation after it, quotes nothing
+    for text in ('"fine" you nastyword ...', 'he said "fine", then you nastyword !!', 'the "good" and nastyword and "bad" ones'):
+        assert tx.evidence(text, lexicon, {})[2] == 0 < tx.evidence(text, lexicon, {})[0]
+    assert tx.evidence('they wrote "all of the nastyword lot".', lexicon, {})[0] == 0
     assert not tx.evidence(None, lexicon, {}).any() and not tx.evidence("", lexicon, {}).any()
 
 
