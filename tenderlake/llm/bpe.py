@@ -44,7 +44,15 @@ RECENT = 4096
 SLICE = 256
 _BLOCK = 1 << 20
 _FACTOR = 0x9E3779B97F4A7C15
-_SYNC = re.compile(rb"(?<=[!-~])[ \n]")
+#: Places where the vocabulary's pattern must split, whatever stands around them: before a blank or line break behind a
+#: character that is no white space (of those that need several bytes, ranges without any), and between a full stop or
+#: comma of East Asian scripts and a letter.
+_SYNC = re.compile(
+    rb"(?:(?<=[!-~])|(?<=[\xc3-\xdf][\x80-\xbf])|(?<=[\xe0\xe4-\xef][\x80-\xbf][\x80-\xbf])|(?<=\xe3[\x81-\xbf][\x80-\xbf])"
+    rb"|(?<=[\xf0-\xf4][\x80-\xbf][\x80-\xbf][\x80-\xbf]))(?=[ \n])|(?:(?<=\xe3\x80\x82)|(?<=\xef\xbc\x8c))(?=[\xe5-\xe8])"
+)
+#: Bytes at a chunk's end that are searched for its last sync point before the rest.
+_NEAR_END = 48
 
 
 def vocabulary(path: str):
@@ -93,11 +101,13 @@ def parts(chunk: bytes) -> tuple[bytes, bytes, bytes] | None:
     first = _SYNC.search(chunk, 1)
     if not first:
         return None
-    a, b = first.start(), len(chunk)
-    while True:
-        b = max(chunk.rfind(b" ", a, b), chunk.rfind(b"\n", a, b))
-        if 0x21 <= chunk[b - 1] <= 0x7E:
-            return chunk[:a], chunk[a:b], chunk[b:]
+    a = b = first.start()
+    for start in (max(a, len(chunk) - _NEAR_END), a):
+        for last in _SYNC.finditer(chunk, start):
+            b = last.start()
+        if b > a or start == a:
+            break
+    return chunk[:a], chunk[a:b], chunk[b:]
 
 
 def digest(chunk: bytes) -> bytes:
@@ -117,15 +127,15 @@ def plain_encoder(path: str) -> Callable[[bytes], list[int]]:
 def encode_text(text: str | None, encode: Callable[[bytes], list[int]], known: dict[bytes, np.ndarray], recent: dict[bytes, list[int]]) -> np.ndarray:
     """Ids of a whole text from its chunks' cores and the re-encoded joins."""
     out: list = []
-    carry = b""
+    carry: list[bytes] = []
     for chunk in chunks((text or "").encode("utf-8", "replace")):
         split = parts(chunk)
         if split is None:
-            carry += chunk
+            carry.append(chunk)
             continue
         head, core, tail = split
-        if carry or head:
-            out.append(encode(carry + head))
+        if any(carry) or head:
+            out.append(encode(b"".join([*carry, head])))
         if core:
             key = digest(core)
             ids = known.get(key)
@@ -137,9 +147,9 @@ def encode_text(text: str | None, encode: Callable[[bytes], list[int]], known: d
                     recent.clear()
                 recent[key] = ids
             out.append(ids)
-        carry = tail
-    if carry:
-        out.append(encode(carry))
+        carry = [tail]
+    if any(carry):
+        out.append(encode(b"".join(carry)))
     return np.concatenate([np.asarray(x, dtype=np.int32) for x in out]) if out else np.empty(0, dtype=np.int32)
 
 

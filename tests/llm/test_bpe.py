@@ -34,6 +34,36 @@ def test_ids_equal_the_reference(reference, monkeypatch):
             assert got == reference.encode(text or "", add_special_tokens=False).ids
 
 
+def prose(kind, n, seed=11):
+    """Invented prose without ASCII punctuation, or without blanks."""
+    rnd = random.Random(seed)
+    if kind == "russian":
+        return " ".join("".join(rnd.choice("абвгдежзиклмнопрст") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    return "".join("".join(chr(rnd.randrange(0x5000, 0x8FFF)) for _ in range(rnd.randint(4, 20))) + rnd.choice("。，！") for _ in range(n))
+
+
+@pytest.mark.parametrize("kind", ["russian", "chinese"])
+def test_chunks_are_shared_in_any_script(reference, kind):
+    encode, body = bpe.plain_encoder(RANKS), prose(kind, 4000)
+    cores = list(bpe._cores(body))
+    again = set(bpe._cores("other start " + body))
+    assert sum(map(len, cores)) > 0.8 * len(body.encode()) and len(set(cores) & again) > 0.9 * len(set(cores))
+    for text in (body, " " + body[3:], body[::-1], "\u3000".join(body[i : i + 40] for i in range(0, 8000, 40)), "\u00a0 ".join(body[:3000].split(" "))):
+        assert bpe.encode_text(text, encode, {}, {}).tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
+def test_text_without_sync_points_takes_time_by_its_length():
+    import time
+
+    encode = lambda data: [len(data)]
+    took = []
+    for n in (500_000, 2_000_000):
+        start = time.process_time()
+        assert bpe.encode_text("語" * n, encode, {}, {}).tolist() == [3 * n]
+        took.append(time.process_time() - start)
+    assert took[1] < 12 * took[0]
+
+
 def test_chunks_follow_the_content():
     rnd = random.Random(1)
     body = "".join(rnd.choice("abcdefgh \n") for _ in range(30_000)).encode()
