@@ -7,40 +7,58 @@ period, the last one winning (by page, then position on the page).
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.functions.scalars import is_archive_link, period_from_archive_name, url_path_last_segment
 from tenderlake.functions.urls import resolve_url
 
-# Parts of a page that never hold live anchors.
-_INERT = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-# Quoted values are stepped over whole, so a ">" or an "href=" inside one ends nothing.
+# A page's tokens: comments, elements whose content is plain text to its end tag (or the end of the page), and tags, in which
+# quoted values are stepped over whole, so that a ">", an "<a" or an "href=" inside one is no markup.
+_RAW_TEXT = "script|style|textarea|title|xmp|iframe|noembed|noframes"
+_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
+_TOKEN = (r"(?is)<!--.*?(?:-->|\z)|<(" + _RAW_TEXT + r")(?=[\s/>])" + _ATTRIBUTES + r">.*?(?:</\1(?=[\s/>])|\z)|</?[a-z]" + _ATTRIBUTES + ">")
 _VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
-_ANCHOR = r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*+>"""
 _HREF = r"""(?is)^<a(?:\s+(?!href\s*=)[^\s=>"']+(?:\s*=\s*""" + _VALUE + r""")?)*+\s+href\s*=\s*(""" + _VALUE + ")"
-_NUMBERED = "&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+# In an attribute, a name without ";" is a reference only if neither a letter, a digit nor "=" follows.
+_REFERENCE = "&(?:#[xX][0-9a-fA-F]{1,6}(?:;|(?![0-9a-fA-F]))|#[0-9]{1,7}(?:;|(?![0-9]))|[A-Za-z][A-Za-z0-9]*(?:;|(?![A-Za-z0-9=])))"
+# Numbers 128 to 159 mean the characters of windows-1252, where it has one.
+_CONTROLS = [(chr(c), bytes([c]).decode("cp1252", "ignore")) for c in range(128, 160)]
+_CONTROLS_FROM = "".join(a for a, b in _CONTROLS if b)
+_CONTROLS_TO = "".join(b for _, b in _CONTROLS if b)
 
 
-def _character(ref: Column) -> Column:
+def _numbered(ref: Column) -> Column:
     """The character of a numeric reference; the reference itself if there is none."""
-    hexed = F.regexp_extract(ref, "^&#[xX]([0-9a-fA-F]+);$", 1)
-    code = F.when(hexed != "", F.conv(hexed, 16, 10)).otherwise(F.regexp_extract(ref, "^&#([0-9]+);$", 1)).cast("int")
+    hexed = F.regexp_extract(ref, "^&#[xX]([0-9a-fA-F]+);?$", 1)
+    code = F.when(hexed != "", F.conv(hexed, 16, 10)).otherwise(F.regexp_extract(ref, "^&#([0-9]+);?$", 1)).cast("int")
     there = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    return F.when(there, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(ref)
+    char = F.translate(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"), _CONTROLS_FROM, _CONTROLS_TO)
+    return F.when(there, char).otherwise(ref)
+
+
+def _named() -> Column:
+    """The named references of HTML: name (with its ";" where it needs one) -> characters; a constant of the plan."""
+    return F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
 
 
 def _decode_entities(c: Column) -> Column:
-    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(_NUMBERED), F.lit(0)))
-    c = F.when(c.contains("&#"), F.aggregate(refs, c, lambda acc, r: F.replace(acc, r, _character(r)))).otherwise(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    """All references decoded in one pass, so that what one of them gives is not read as another."""
+    def one(ref: Column) -> Column:
+        return F.when(ref.startswith("&#"), _numbered(ref)).otherwise(
+            F.coalesce(F.try_element_at(_named(), F.substring(ref, F.lit(2), F.length(ref) - 1)), ref))
+
+    refs = F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))
+    between = F.split(c, _REFERENCE)
+    return F.array_join(F.zip_with(between, F.array_append(F.transform(refs, one), F.lit("")), lambda text, char: F.concat(text, F.coalesce(char, F.lit("")))), "")
 
 
 def anchor_hrefs(html: Column) -> Column:
     """``href`` of every ``<a>`` tag with one, in document order (references decoded)."""
-    tags = F.regexp_extract_all(F.regexp_replace(html, _INERT, ""), F.lit(_ANCHOR), F.lit(0))
+    tags = F.filter(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), lambda t: F.lower(F.substring(t, 1, 2)) == "<a")
     raw = F.filter(F.transform(tags, lambda t: F.regexp_extract(t, _HREF, 1)), lambda v: v != "")
     bare = lambda v: F.when(v.rlike("^[\"']"), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
     return F.transform(raw, lambda v: F.when(v.contains("&"), _decode_entities(bare(v))).otherwise(bare(v)))

@@ -86,6 +86,30 @@ def page_links(spark, sf_dir):
     return L.page_links(pages).select("page_id", "href", "url")
 
 
+LINK_FORMS = 9
+
+
+def link_forms(spark, sf_dir):
+    """Hrefs with references and odd addresses, and text that only looks like an anchor; one page per customer."""
+    k = F.col("c_custkey").cast("string")
+    forms = [
+        F.concat(F.lit('<a href="x&eacute;_'), k, F.lit('.zip">')),
+        F.concat(F.lit("<a href='\\q\\"), k, F.lit("?a\\b'>")),
+        F.concat(F.lit('<A HREF="./%2e%2E/'), k, F.lit('/.%2e/z">')),
+        F.concat(F.lit('<a href="http://H.Example:80/'), k, F.lit('">')),
+        F.concat(F.lit('<a href="#é '), k, F.lit('">')),
+        F.concat(F.lit('<textarea><a href="no"></textarea><title><a href="no"></title><a href="yes'), k, F.lit('"><!-- <a href="no">')),
+        F.concat(F.lit("<img alt='<a href=\"no\">'><a href=k&copy=1&amp;lt;n="), k, F.lit("&copy;>")),
+        F.concat(F.lit('<a href="&#150;&#x41;&nosuch;'), k, F.lit('">')),
+        F.concat(F.lit('<script>"<a href=no>"</script><a href="http://h.example"><iframe><a href="no'), k, F.lit('">')),
+    ]
+    html = F.lit(None).cast("string")
+    for n, form in enumerate(forms):
+        html = F.when(F.col("c_custkey") % LINK_FORMS == n, form).otherwise(html)
+    pages = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), F.lit("https://Example.com:443/a/b?x").alias("url"), html.alias("html"))
+    return L.page_links(pages).select("page_id", "url")
+
+
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One small listing page per order with archive and non-archive links (relative hrefs)."""
     o = _t(spark, sf_dir, "orders")
@@ -466,6 +490,7 @@ def queries() -> dict:
         "empty_result": empty_result,
         "range_reasons": range_reasons,
         "period_errors": period_errors,
+        "link_forms": link_forms,
         "error_parts": error_parts,
         "compact_small_files": compact_small_files,
         "type_partitions": type_partitions,
@@ -635,6 +660,13 @@ FROM orders""",
         "range_reasons": """WITH o AS (SELECT strftime(o_orderdate, '%Y%m') AS m, strftime(o_orderdate, '%Y') AS y, substr(o_orderpriority, 1, 3) AS p FROM orders),
 r AS (SELECT m AS "start", y AS "end" FROM o UNION SELECT y, m FROM o UNION SELECT m, p FROM o)
 SELECT "start", "end", CASE WHEN NOT regexp_full_match("end", '[0-9]+') THEN 'non_digit' WHEN "start" > "end" THEN 'reversed' END AS reason FROM r""",
+        "link_forms": f"""SELECT c_custkey AS page_id, CASE c_custkey % {LINK_FORMS}
+  WHEN 0 THEN 'https://example.com/a/x%C3%A9_' || c_custkey || '.zip' WHEN 1 THEN 'https://example.com/q/' || c_custkey || '?a\\b'
+  WHEN 2 THEN 'https://example.com/z' WHEN 3 THEN 'http://h.example/' || c_custkey
+  WHEN 4 THEN 'https://example.com/a/b?x#%C3%A9%20' || c_custkey WHEN 5 THEN 'https://example.com/a/yes' || c_custkey
+  WHEN 6 THEN 'https://example.com/a/k&copy=1&lt;n=' || c_custkey || '%C2%A9'
+  WHEN 7 THEN 'https://example.com/a/%E2%80%93A&nosuch;' || c_custkey ELSE 'http://h.example' END AS url
+FROM customer""",
         "error_parts": f"""WITH m AS (SELECT o_orderstatus, 'order ' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || ' of ' || o_orderpriority AS m FROM orders),
 p AS (SELECT *, coalesce(sum(length(m) + 2) OVER (PARTITION BY o_orderstatus ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM m),
 j AS (SELECT o_orderstatus, CAST(floor(start / {PART_CHARACTERS}) AS BIGINT) AS part, string_agg(m, '; ' ORDER BY m) AS errors FROM p GROUP BY ALL)
