@@ -168,6 +168,56 @@ def _substrings_sql(window: int = substrings.WINDOW) -> str:
     FROM d LEFT JOIN kept USING (r)"""
 
 
+def _secrets_sql() -> str:
+    """Each pattern run over whole texts: a match stands behind what it and the matches before it leave; checksums by folds over characters."""
+    def spans(kind: str, pattern: str, good: str, flags: str = "c") -> str:
+        quoted = "'" + pattern.replace("'", "''") + "'"
+        return f"""SELECT r, {secrets.KINDS.index(kind)} AS k, '{kind}' AS kind, s, s + len(x) AS e FROM (
+          SELECT r, t, x[i] AS x, CAST(list_sum(list_transform(gap[1:i], lambda g: len(g))) + coalesce(list_sum(list_transform(x[1:i - 1], lambda m: len(m))), 0) AS BIGINT) AS s
+          FROM (SELECT r, t, regexp_extract_all(t, {quoted}, 0, '{flags}') AS x, regexp_split_to_array(t, {quoted}, '{flags}') AS gap FROM d), unnest(range(1, len(x) + 1)) u(i))
+          WHERE {good}"""
+
+    def alone(extra: str = "") -> str:
+        return f"NOT regexp_matches(substr(t, s, CASE WHEN s > 0 THEN 1 ELSE 0 END), '[A-Za-z0-9{extra}]') AND NOT regexp_matches(substr(t, s + len(x) + 1, 1), '[A-Za-z0-9{extra}]')"
+
+    shift = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END)"
+
+    def crc(body: str) -> str:
+        codes = f"list_transform(range(1, 31), lambda j: CAST(ascii(substr({body}, j, 1)) AS BIGINT))"
+        folded = f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), lambda c, b: {shift}), CAST(4294967295 AS BIGINT))"
+        digits = ", ".join(str(62 ** k) for k in range(5, -1, -1))
+        return f"array_to_string(list_transform([{digits}], lambda p: substr('{secrets.BASE62}', 1 + ({folded} // p) % 62, 1)), '')"
+
+    def bech32(prefix: str, data: str) -> str:
+        head = [ord(c) >> 5 for c in prefix] + [0] + [ord(c) & 31 for c in prefix]
+        values = f"list_concat([CAST(1 AS BIGINT), {', '.join(map(str, head))}], list_transform(range(1, 59), lambda j: CAST(instr('{secrets.BECH32}', substr({data}, j, 1)) - 1 AS BIGINT)))"
+        state = "xor((c & 33554431) << 5, v)"
+        for bit, step in enumerate(secrets.BECH32_STEPS):
+            state = f"xor({state}, CASE WHEN ((c >> 25) >> {bit}) & 1 = 1 THEN CAST({step} AS BIGINT) ELSE 0 END)"
+        return f"list_reduce({values}, lambda c, v: {state}) = 1"
+
+    assign = secrets.PATTERNS["assign"].pattern.decode()
+    value = "regexp_extract(x, '^" + assign.replace("'", "''") + "$', 1, 'i')"
+    letters = "[A-Za-z0-9]{36}"
+    parts = [
+        spans("assign", assign, f"len({value}) >= {secrets.ASSIGN_LEAST}", "i"),
+        spans("access", "AKIA[A-Z0-9]+", f"len(x) >= {secrets.ACCESS_LEAST}"),
+        spans("hex", "[0-9a-f]+", f"len(x) >= {secrets.HEX_LEAST}"),
+        spans("github", "gh[pousr]_" + letters, f"{alone('_')} AND substr(x, 35, 6) = {crc('substr(x, 5, 30)')}"),
+        spans("npm", "npm_" + letters, f"{alone('_')} AND substr(x, 35, 6) = {crc('substr(x, 5, 30)')}"),
+        spans("age", "AGE-SECRET-KEY-1[02-9AC-HJ-NP-Z]{58}", f"{alone()} AND {bech32(secrets.PREFIXES['age'], 'lower(substr(x, 17))')}"),
+        spans("nostr", "nsec1[02-9ac-hj-np-z]{58}", f"{alone()} AND {bech32(secrets.PREFIXES['nostr'], 'substr(x, 6)')}"),
+    ]
+    listed = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k){}, '')"
+    base = f" FILTER (WHERE k < {len(secrets.BASE)})"
+    counts = ", ".join(f"CAST(count(k) FILTER (WHERE k = {k}) AS BIGINT) AS n_{kind}" for k, kind in enumerate(secrets.BASE))
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+    f AS ({" UNION ALL ".join(parts)})
+    SELECT any_value(doc_id) AS doc_id, {counts}, sha256({listed.format(base)}) AS base_sha256, {listed.format("")} AS spans
+    FROM d LEFT JOIN f USING (r) GROUP BY r"""
+
+
 def _phrases_sql(least: int = phrases.LEAST, top: int = phrases.TOP) -> str:
     """All runs of one to three words counted as strings."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -193,4 +243,4 @@ def _phrases_sql(least: int = phrases.LEAST, top: int = phrases.TOP) -> str:
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_spaced_seed_leaks": _leaks_sql(), "op10_de_bruijn_substrings": _substrings_sql(), "op13_phrase_collocations": _phrases_sql()}
+    return {"op6_spaced_seed_leaks": _leaks_sql(), "op10_de_bruijn_substrings": _substrings_sql(), "op11_secret_scans": _secrets_sql(), "op13_phrase_collocations": _phrases_sql()}
