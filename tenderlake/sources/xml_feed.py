@@ -17,6 +17,7 @@ no file is dropped without a word.
 from __future__ import annotations
 
 import sys
+from collections import deque
 from collections.abc import Iterator
 from itertools import chain
 
@@ -181,6 +182,9 @@ def _cut(odd: dict[tuple[str, int], tuple[int, str]], pieces: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held = [], 0
         for path, start, length, size, records in _splits(batches):
+            if pieces and length >= size:
+                deque(records, maxlen=0)   # a file of one split has none
+                continue
             for kind, text in _pieces(records, start, start + length >= size, odd.get((path, start))):
                 if kind == entry_cut.OPEN and length >= size:
                     kind = entry_cut.ENTRY
@@ -210,7 +214,7 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
 
 def with_canonical(texts: DataFrame) -> DataFrame:
     """``texts`` with the column CANONICAL after its others, of which the last is ``entry_xml``."""
-    schema = texts.withColumn(CANONICAL, F.lit("")).schema
+    schema = texts.withColumn(CANONICAL, F.lit(None).cast("string")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,13 +222,18 @@ def with_canonical(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(moved, pa.string())], schema.names)
 
     return texts.mapInArrow(run, schema)
+
+
 _MODES = "path string, start long, ends array<int>, encoding string"
 
 
 def _modes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each split, the mode it ends in for each mode it may begin in, and the encoding a file's first split names."""
     out = []
-    for path, start, _, _, records in _splits(batches):
+    for path, start, length, size, records in _splits(batches):
+        if length >= size:
+            deque(records, maxlen=0)
+            continue
         ends, encoding = list(range(4)), None
         for data in records:
             if start == 0 and encoding is None:
@@ -259,8 +268,8 @@ def _stitched(pieces: DataFrame) -> DataFrame:
     in_file = Window.partitionBy("path").orderBy("start", F.when(F.col("kind") == entry_cut.LEAD, 0).when(F.col("kind") == entry_cut.THROUGH, 1).otherwise(2))
     numbered = pieces.withColumn("entry", F.sum(F.when(F.col("kind") == entry_cut.OPEN, 1).otherwise(0)).over(in_file))
     # text before a file's first entry, or between two, is no piece of an entry; an end tag without a start is malformed
-    after = F.lag("kind").over(in_file)
-    loose = (F.col("kind") == entry_cut.THROUGH) & F.coalesce(after == entry_cut.LEAD, F.lit(False))
+    before = F.last(F.when(F.col("kind") != entry_cut.THROUGH, F.col("kind")), True).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    loose = (F.col("kind") == entry_cut.THROUGH) & F.coalesce(before == entry_cut.LEAD, F.lit(False))
     kept = numbered.withColumn("loose", loose).where(~F.col("loose") & ((F.col("entry") > 0) | (F.col("kind") == entry_cut.LEAD)))
     texts = kept.groupBy("path", "entry").agg(F.array_sort(F.collect_list(F.struct("start", "entry_xml"))).alias("p"))
     return texts.select("path", F.array_join("p.entry_xml", "").alias("entry_xml"))
@@ -270,7 +279,8 @@ def read_entry_texts(spark: SparkSession, root: str, paths: list[str] | None = N
     """S2 (text form): ``(period, path, entry_xml, canonical_xml)`` for every entry of every feed file.
 
     ``paths`` restricts the scan to those directories/files (built from selected periods, so
-    unselected periods are never listed or read).
+    unselected periods are never listed or read). Where a file has several splits, they are read twice and must be the
+    same both times: the files, the split size and, for inputs of less than a split a core, the number of cores.
     """
     full, root_path = qualified(spark, root)
     raw = (spark.read.format("text")
@@ -287,10 +297,11 @@ def read_entry_texts(spark: SparkSession, root: str, paths: list[str] | None = N
     if largest <= least:
         texts = splits.mapInArrow(_cut({}, False), _CUT_ROWS).select("path", "entry_xml", CANONICAL)
     else:
-        large = raw.where(meta["file_size"] > least).select(*columns)
-        odd = _odd_splits(large)
+        # the same files in every read, so that Spark splits them alike (a filter on their sizes would be pushed into the
+        # listing and change the splits); the tasks step over files of one split
+        odd = _odd_splits(splits)
         path = scratch_path(spark, "entry-pieces")
-        large.mapInArrow(_cut(odd, True), _CUT_ROWS).write.parquet(path)
+        splits.mapInArrow(_cut(odd, True), _CUT_ROWS).write.parquet(path)
         pieces = spark.read.schema(_CUT_ROWS).parquet(path)
         texts = splits.mapInArrow(_cut(odd, False), _CUT_ROWS).select("path", "entry_xml", CANONICAL).unionByName(with_canonical(_stitched(pieces)))
     return (texts.withColumn("period", period_from_path(F.col("path"), root_path)).where(F.col("period") != F.lit(""))
