@@ -3,8 +3,7 @@
 from pyspark.sql import functions as F
 
 from tenderlake.functions.reduce import concat_values, first_non_empty, last_present
-from tenderlake.functions.scalars import format_duration, id_from_url, local_name, mb_from_bytes
-from tenderlake.operators.metrics import round2
+from tenderlake.functions.scalars import format_duration, id_from_url, local_name, mb_from_bytes, round_two
 
 
 def _eval(spark, col, data, ddl="v array<string>"):
@@ -39,6 +38,6 @@ def test_local_name(spark):
 
 def test_units(spark):
     df = spark.createDataFrame([(0, 0, 1.234), (61, 1048576, 1.235), (3661, 0, 2.0)], "s long, b long, x double")
-    rows = df.select(format_duration(F.col("s")), mb_from_bytes(F.col("b")), round2(F.col("x"))).collect()
+    rows = df.select(format_duration(F.col("s")), mb_from_bytes(F.col("b")), round_two(F.col("x"))).collect()
     assert [tuple(r) for r in rows] == [("00:00:00", 0.0, 1.23), ("00:01:01", 1.0, 1.24), ("01:01:01", 0.0, 2.0)]
     assert df.select(format_duration(F.lit(100 * 3600))).first()[0] == "100:00:00"
