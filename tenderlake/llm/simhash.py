@@ -3,13 +3,15 @@
 A document's fingerprint has a bit set where over half of its shingles' 64-bit hashes have it. Two fingerprints
 link if they differ in at most ``radius`` bits; a document's component is everything reachable over links.
 
-Fingerprints are first brought together in *buckets*: the 64 bits are cut into ``radius + 2`` blocks, and two
-fingerprints within the radius agree on at least two blocks, so every pair of blocks is a bucket key and every
-link lies inside some bucket. A bucket's distinct fingerprints are dealt to shards of about ``SHARD`` by a hash
-(one shard for nearly all buckets). A shard's fingerprints form a BK-tree: a node's children are keyed by their
+Fingerprints are first brought together in *buckets*. The 64 bits are cut into ``radius + 1`` blocks, and two
+fingerprints within the radius agree on at least one whole block, so some bits of each block are a bucket key and every
+link lies inside some bucket. As many bits are taken as leave a quarter to a half of ``SHARD`` fingerprints in a bucket on
+average (none, and one bucket, for few fingerprints), so that trees have thousands of nodes at every size of the input.
+A bucket of more than ``SHARD`` is cut finer: its fingerprints agree on the whole block and on one of ``radius + 1``
+parts of the other bits. What is still larger is dealt to shards by a hash. A shard's fingerprints form a BK-tree: a node's children are keyed by their
 integer Hamming distance to it. Each shard's tree is sent to every block of queries of its own bucket, bounded
 by the shard size on both sides, and a query at distance d from a node follows only the edges d - radius to
-d + radius. Inside a task all trees of a batch are searched side by side with arrays. Each block yields one link
+d + radius. Inside a task all trees of a batch are searched side by side with arrays, some queries at a time. Each block yields one link
 per fingerprint, to the smallest it is connected with there, never all pairs.
 
 Edge cases: null and empty texts have fingerprint 0 and link like others; a text of fewer words than a shingle is
@@ -19,8 +21,8 @@ that has a doc_id; an empty table gives no rows; only doc_id and text are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import combinations
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -33,9 +35,11 @@ from tenderlake.llm.components import components
 
 SHINGLE = 3
 RADIUS = 2
-SHARD = 1024
+SHARD = 8192
 SEED = 42
 _CHUNK = 1 << 16
+#: Queries that are led through the trees at once.
+_ASKED = 1 << 11
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -141,7 +145,12 @@ def _block_links(rows: pd.DataFrame, radius: int) -> pd.DataFrame:
     has_asks = np.zeros(len(root_of), dtype=bool)
     has_asks[block[asks]] = True
     queries = np.flatnonzero((asks | ~has_asks[block]) & (root_of[block] >= 0))
-    q, node = bk_search(fp[nodes], child, fp[queries], root_of[block[queries]], radius)
+    found = [(queries[:0], queries[:0])]
+    for at in range(0, len(queries), _ASKED):
+        some = queries[at : at + _ASKED]
+        q, node = bk_search(fp[nodes], child, fp[some], root_of[block[some]], radius)
+        found.append((q + at, node))
+    q, node = (np.concatenate(x) for x in zip(*found))
     order = np.argsort(fp, kind="stable")
     rank = np.empty(len(fp), dtype=np.int64)
     rank[order] = np.arange(len(fp))
@@ -169,17 +178,27 @@ def _linked(radius: int):
     return run
 
 
-def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column ``fp``) that connect all within the radius."""
-    blocks = radius + 2
-    cuts = [64 * k // blocks for k in range(blocks + 1)]
-    masks = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(cuts, cuts[1:])]
+def _key(number: int, bits: Sequence[int]) -> Column:
+    """A bucket key: the fingerprint at these bits, with a number for the choice of bits."""
+    mask = sum(1 << b for b in bits)
+    signed = mask - (1 << 64) if mask >> 63 else mask
+    return F.struct(F.lit(number).alias("pair"), F.col("fp").bitwiseAND(F.lit(signed).cast("long")).alias("key"))
 
-    def signed(x: int) -> int:
-        return x - (1 << 64) if x >> 63 else x
 
-    keys = [F.struct(F.lit(k).alias("pair"), F.col("fp").bitwiseAND(F.lit(signed(masks[i] | masks[j]))).alias("key")) for k, (i, j) in enumerate(combinations(range(blocks), 2))]
-    keyed = prints.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.pair", "k.key")
+def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column ``fp``) that connect all within the radius."""
+    blocks = [range(64 * k // (radius + 1), 64 * (k + 1) // (radius + 1)) for k in range(radius + 1)]
+    n_bits = min(len(blocks[0]), max(0, math.ceil(math.log2(max(2 * prints.count() / shard, 1)))))
+    coarse = [_key(k, block[:n_bits]) for k, block in enumerate(blocks)] if n_bits else [_key(0, [])]
+    keyed = prints.select("fp", F.explode(F.array(*coarse)).alias("k")).select("fp", "k.pair", "k.key")
+    sizes = keyed.groupBy("pair", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keys = F.array(F.struct("pair", "key"))
+    for k, block in enumerate(blocks):
+        others = [x for x in range(64) if x not in block]
+        parts = [others[len(others) * j // (radius + 1) : len(others) * (j + 1) // (radius + 1)] for j in range(radius + 1)]
+        finer = [_key((k + 1) * (radius + 1) + j, [*block, *part]) for j, part in enumerate(parts)]
+        keys = F.when((F.col("n") > shard) & (F.col("pair") == k), F.array(*finer)).otherwise(keys)
+    keyed = keyed.join(sizes, ["pair", "key"]).select("fp", F.explode(keys).alias("k")).select("fp", "k.pair", "k.key")
     sizes = keyed.groupBy("pair", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shards = F.ceil(F.col("n") / shard).cast("int")
     dealt = keyed.join(sizes, ["pair", "key"]).select(

@@ -62,7 +62,7 @@ def test_bk_search_equals_brute_force():
     assert got == want
 
 
-@pytest.mark.parametrize("shard", [1024, 3])
+@pytest.mark.parametrize("shard", [8192, 64, 3])
 def test_components_of_planted_prints(spark, shard):
     rnd = random.Random(11)
     prints = []
@@ -79,6 +79,21 @@ def test_components_of_planted_prints(spark, shard):
     assert [got[i] for i in range(len(prints))] == brute_components(prints)
 
 
+@pytest.mark.parametrize("shard", [512, 40])
+def test_no_link_is_lost_in_crowded_buckets(spark, shard):
+    # a third of the prints agree on whole blocks, so their buckets are cut finer and dealt to several shards
+    rnd = random.Random(23)
+    prints = {rnd.getrandbits(64) for _ in range(600)}
+    crowd = rnd.getrandbits(64)
+    prints |= {crowd & ~(((1 << 14) - 1) << 30) | rnd.getrandbits(14) << 30 for _ in range(300)}
+    prints |= {fp ^ 1 << rnd.randrange(64) ^ 1 << rnd.randrange(64) for fp in rnd.sample(sorted(prints), 200)}
+    prints = sorted(prints)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    rows = spark.createDataFrame(list(enumerate(signed)), "doc_id long, fp long")
+    got = {r.doc_id: r.component_id for r in simhash.component_ids(spark, rows, shard=shard).collect()}
+    assert [got[i] for i in range(len(prints))] == brute_components(prints)
+
+
 def test_components_of_a_chain_and_of_nothing(spark):
     chain = [(i, i + 1) for i in range(50)] + [(100, 101), (101, 100), (7, 7)]
     df = spark.createDataFrame(chain, "a long, b long")
