@@ -8,6 +8,8 @@ hit, has ``SIMILAR`` of its words equal place by place.
 
 With ``short``, items of at most ``OVERLAP`` words are found by runs of equal words instead of masks, each run as long
 as the longest that must be left when as many words are replaced as the check allows: none of their leaks is missed.
+Longer items are found by masks, chosen so that a stretch of ``OVERLAP`` words is hit wherever its replaced words stand.
+Items of fewer than ``least_words`` words are left out.
 
 The items' hashes are broadcast in blocks of at most ``BLOCK`` seeds, so the size of a broadcast has a bound, and the
 documents are read once for each block. Documents' words are never shuffled; hits are aggregated before they are.
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 
 from tenderlake.llm.common import fresh, small, text_key, written
 
-MASKS = ("11011011", "1011010011", "111001001011")
+#: Wherever two of 13 words are replaced, one of these masks has a place among the 13 that looks at neither.
+MASKS = ("11011011", "11101001011", "111001001011")
 OVERLAP = 13
 SIMILAR = 0.8
 BLOCK = 1_000_000
@@ -78,10 +81,12 @@ def _equal_stretch(overlap: int, similar: float) -> Column:
 
 
 def leaks(
-    docs: DataFrame, items: DataFrame, key: str = "doc_id", masks: tuple[str, ...] = MASKS, overlap: int = OVERLAP, similar: float = SIMILAR, block: int = BLOCK, short: bool = False
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", masks: tuple[str, ...] = MASKS, overlap: int = OVERLAP, similar: float = SIMILAR, block: int = BLOCK, short: bool = False,
+    least_words: int = 1,
 ) -> DataFrame:
     """One row for each key of ``docs`` (key, text) and item_id of ``items`` (item_id, text) that leaks: hits, equal words, first place."""
     known = items.select("item_id", tokens(F.col("text")).alias("item_w")).withColumn("item_key", F.xxhash64("item_w"))
+    known = known.where(F.size("item_w") >= least_words)
     read = docs.select(F.col(key).alias("key"), tokens(F.col("text")).alias("doc_w")).withColumn("hashes", hashed(F.col("doc_w")))
     n = F.size("item_w")
     if not short:

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -106,3 +107,38 @@ def test_short_items_against_brute_force_without_masks(spark, block):
     want.add((docs[-2][0], 40))
     got = dc.leaks(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string"), block=block, short=True).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want) > 250
+
+
+def leaked(doc, item):
+    """Whether some stretch of both, as long as the check's or the whole item, is equal enough place by place; no masks."""
+    dw, iw = tokens(doc), tokens(item)
+    n = min(dc.OVERLAP, len(iw))
+    need = -(-n * 4 // 5)
+    return any(
+        sum(x == y for x, y in zip(dw[a : a + n], iw[b : b + n])) >= need for a in range(len(dw) - n + 1) for b in range(len(iw) - n + 1)
+    )
+
+
+def test_every_place_of_two_replaced_words_is_found(spark):
+    rnd = random.Random(31)
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(n))) for k, n in enumerate((14, 15, 20, 41))]
+    docs = []
+    for k, item in items:
+        w = item.split()
+        for a, b in itertools.combinations(range(dc.OVERLAP), 2):
+            at = rnd.randrange(len(w) - dc.OVERLAP + 1)
+            part = w[at : at + dc.OVERLAP]
+            part[a] = part[b] = "other"
+            if (a + b) % 5 == 0:  # a third one is too many
+                part[next(j for j in range(dc.OVERLAP) if j not in (a, b))] = "third"
+            docs.append((len(docs), " ".join(["before"] * rnd.randrange(4) + part + ["after"] * rnd.randrange(4))))
+    got = dc.leaks(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string"), short=True)
+    want = {(d, i) for d, dt in docs for i, it in items if leaked(dt, it)}
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and 0 < len(want) < len(docs)
+
+
+def test_items_of_too_few_words_drop_nothing(spark):
+    docs = spark.createDataFrame([(1, "yes it is so"), (2, "one two three four five six"), (3, None)], "doc_id int, text string")
+    items = spark.createDataFrame([(1, "Yes"), (2, "two three four five six"), (3, "it is so")], "item_id int, text string")
+    kept = lambda **o: {r.doc_id for r in dc.drop_leaks(spark, docs, items, short=True, **o).collect()}
+    assert kept() == {3} and kept(least_words=5) == {1, 3} and kept(least_words=6) == {1, 2, 3}
