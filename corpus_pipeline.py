@@ -14,6 +14,10 @@ from tenderlake.llm.common import fresh, table, written
 from tenderlake.llm.queries import default_ranks
 
 
+#: Benchmark items of fewer words, such as a one-word answer, stand in clean texts too: they drop nothing.
+LEAST_ITEM_WORDS = 5
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier accepts."""
     model = quality.fit(docs, quality.train_labels(table(spark, sf_dir, "labels"), "quality"))
@@ -26,8 +30,9 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that leak no benchmark item."""
-    return decontaminate.drop_leaks(spark, docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), short=True)
+    """The documents that leak no benchmark item of ``LEAST_ITEM_WORDS`` words or more."""
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return decontaminate.drop_leaks(spark, docs, items, short=True, least_words=LEAST_ITEM_WORDS)
 
 
 def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
