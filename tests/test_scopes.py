@@ -109,3 +109,25 @@ def test_any_depth_through_the_parse(spark):
     assert row.cfs_raw_xml == block
     two = FEED.format(f"<entry><id>1</id>{block}<p:ContractFolderStatus><c:ContractFolderID>last</c:ContractFolderID></p:ContractFolderStatus></entry>")
     assert [r.contract_id for r in entries_of(spark, two).collect()] == ["last"]
+
+
+def test_blocks_with_the_same_tags_are_rewritten_alike():
+    from tenderlake.sources import scopes
+
+    block = "<a><c:ContractFolderID>{}</c:ContractFolderID></a><p:ProcurementProject><x><c:Name>{}</c:Name></x></p:ProcurementProject>{}"
+    texts = [("1", "a", ""), ("2", "", " "), ("3", "x > y &amp; \n", ""), ("<i/>4", "b", ""), ("5", '<b t="1>2">c</b>', ""), ("6", "<![CDATA[<c>]]>", ""),
+             ("7", "open <", ""), ("8", "\x01", "\x02"), ("9", "<b t='\x010\x02'>c</b>", "")]
+    scopes._PLANS.clear()
+    for text in texts * 2:
+        inner = block.format(*text)
+        assert scopes.rewritten_alike(inner) == scopes.rewritten(inner)
+    walked = []
+    own, scopes.rewritten = scopes.rewritten, lambda inner: walked.append(inner) or own(inner)
+    try:
+        for k in range(20):
+            inner = block.format(k, "name", "")
+            entry = f"<entry><p:ContractFolderStatus>{inner}</p:ContractFolderStatus></entry>"
+            assert scopes.canonical(entry) == f"<entry><p:ContractFolderStatus>{own(inner)}</p:ContractFolderStatus></entry>"
+    finally:
+        scopes.rewritten = own
+    assert len(walked) <= 1
