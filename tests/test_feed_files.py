@@ -58,3 +58,23 @@ def test_gzipped_file_cut_short(spark, tmp_path):
     e = parse_entries(read_entry_texts(spark, str(tmp_path), glob=GZIP_GLOB), mode="PERMISSIVE")
     assert e.where(~malformed(F.col("e"))).count() == 3
     assert [r.entry_xml for r in e.where(malformed(F.col("e"))).collect()] == ["<entry><id>3</id><title>left"]
+
+
+def test_both_feeds_come_from_one_shuffle_of_the_tables(spark, tmp_path, monkeypatch):
+    tables = {
+        "orders": """SELECT id AS o_orderkey, id % 3 AS o_custkey, element_at(array('F', 'O', 'P'), CAST(id % 3 + 1 AS INT)) AS o_orderstatus, 1.5D AS o_totalprice,
+            timestamp'1995-01-01' + make_interval(0, CAST(id % 4 AS INT)) AS o_orderdate, if(id % 2 = 0, '5-LOW', '1-URGENT') AS o_orderpriority FROM range(24)""",
+        "lineitem": """SELECT id % 20 AS l_orderkey, id AS l_partkey, id AS l_suppkey, CAST(id AS INT) AS l_linenumber, 2.0D AS l_quantity, 3.0D AS l_extendedprice,
+            if(id % 2 = 0, 'R', 'N') AS l_returnflag, 'O' AS l_linestatus, timestamp'1995-02-01' AS l_shipdate FROM range(60)""",
+        "customer": "SELECT id AS c_custkey, 'c' || id AS c_name, CAST(id AS INT) AS c_nationkey, 'BUILDING' AS c_mktsegment FROM range(2)",
+        "nation": "SELECT CAST(id AS INT) AS n_nationkey, 'n' || id AS n_name, 1 AS n_regionkey FROM range(1)"}
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    reads, entry_rows = [], feed_files.entry_rows
+    monkeypatch.setattr(feed_files, "entry_rows", lambda *a: reads.append(a) or entry_rows(*a))
+    both = feed_files.feed_roots(spark, str(tmp_path))
+    assert len(reads) == 1 and feed_files.feed_roots(spark, str(tmp_path)) == both and len(reads) == 1
+    monkeypatch.setattr(feed_files, "_MEMO", {})
+    alone = feed_files.feed_root(spark, str(tmp_path)), feed_files.feed_root(spark, str(tmp_path), omit_atom=True)
+    texts = [sorted((r.period, r.entry_xml) for r in read_entry_texts(spark, root, glob=GZIP_GLOB).collect()) for root in both + alone]
+    assert [len(t) for t in texts] == [24] * 4 and texts[0] == texts[2] != texts[1] == texts[3]
