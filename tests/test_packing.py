@@ -6,6 +6,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from tenderlake.operators.metrics import joined_errors
+from tenderlake.sinks import table
 from tenderlake.sinks.table import compact_stored, compaction_plan, empty_entries, read_entries, table_files, write_entries
 from tenderlake.sources.archives import list_archives, list_members, packed, read_archive_entries
 
@@ -38,6 +39,27 @@ def test_only_partitions_of_small_files_are_rewritten(spark, tmp_root):
     assert read_entries(spark, out).where("period = '202301'").count() == 50
 
 
+def tasks_of(spark, out, period):
+    names = [os.path.basename(r.file) for r in table_files(spark, out).where(F.col("period") == period).collect()]
+    return len(names), {n.split("-")[1] for n in names}
+
+
+def test_small_files_are_written_by_many_tasks(spark, tmp_root, monkeypatch):
+    """A rebalance by bytes leaves a few MB of rows, and all their files, to one or two tasks."""
+    rows = stored(spark, 1200, "").withColumn("period", F.concat(F.lit("2023"), F.lpad((F.col("id").cast("int") % 40).cast("string"), 2, "0")))
+    write_entries(rows, f"{tmp_root}/t", compact=True, max_records_per_file=8)
+    found = [tasks_of(spark, f"{tmp_root}/t", f"2023{k:02d}") for k in range(40)]
+    assert all(n == 4 and len(tasks) == 1 for n, tasks in found) and len({t for _, ts in found for t in ts}) > 4
+    assert sorted(int(r.id) for r in read_entries(spark, f"{tmp_root}/t").collect()) == list(range(1200))
+    # a hot partition, of equal rows too, is written in runs of whole files; null periods are a partition as well
+    monkeypatch.setattr(table, "RUN_FILES", 2)
+    hot = stored(spark, 95, "202301").withColumn("id", F.when(F.col("id").cast("int") < 60, "same").otherwise(F.col("id")))
+    write_entries(hot.unionByName(stored(spark, 25, None)), f"{tmp_root}/hot", compact=True, max_records_per_file=10)
+    n, tasks = tasks_of(spark, f"{tmp_root}/hot", "202301")
+    assert n == 10 and len(tasks) > 1 and tasks_of(spark, f"{tmp_root}/hot", "__HIVE_DEFAULT_PARTITION__")[0] == 3
+    assert dict(read_entries(spark, f"{tmp_root}/hot").groupBy("id").count().collect()) == {"same": 60} | {str(k): 1 for k in [*range(25), *range(60, 95)]}
+
+
 def test_members_are_packed_by_size(spark, tmp_root):
     entry = "<entry><id>{}</id></entry>"
     os.makedirs(tmp_root, exist_ok=True)
