@@ -78,3 +78,32 @@ def test_both_feeds_come_from_one_shuffle_of_the_tables(spark, tmp_path, monkeyp
     alone = feed_files.feed_root(spark, str(tmp_path)), feed_files.feed_root(spark, str(tmp_path), omit_atom=True)
     texts = [sorted((r.period, r.entry_xml) for r in read_entry_texts(spark, root, glob=GZIP_GLOB).collect()) for root in both + alone]
     assert [len(t) for t in texts] == [24] * 4 and texts[0] == texts[2] != texts[1] == texts[3]
+
+
+ODD = {
+    "orders": """SELECT * FROM VALUES (1L, 7L, 'F', 10.005D, timestamp'1995-01-31', '5-LOW'), (2L, null, null, null, timestamp'1995-02-01', null), (3L, 8L, 'P', 1D, null, '1<2')
+        AS t(o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)""",
+    "lineitem": """SELECT * FROM VALUES (1L, 5L, 6L, 2, 1D, 2.5D, 'R', 'O', timestamp'1995-03-01'), (1L, 4L, 6L, 1, 1D, 2.5D, null, null, timestamp'1995-03-02'),
+        (1L, 9L, null, null, null, 3D, 'R', 'F', null) AS t(l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_linestatus, l_shipdate)""",
+    "customer": "SELECT 7L AS c_custkey, 'A & \"B\"' AS c_name, 1 AS c_nationkey, 'S>T' AS c_mktsegment",
+    "nation": "SELECT 1 AS n_nationkey, 'N' AS n_name, 0 AS n_regionkey"}
+
+
+def test_entries_are_made_where_they_are_written(spark, tmp_path):
+    for name, sql in ODD.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    writes = feed_files.write_entry_feed(feed_files.entry_rows(spark, str(tmp_path)), f"{tmp_path}/feed", omit_atom=True, broken=F.col("o_orderkey") == 2)
+    assert writes.collect() and "<entry>" not in writes._jdf.queryExecution().toString()   # no text is made in SQL
+    got = {r.period: r.entry_xml for r in read_entry_texts(spark, f"{tmp_path}/feed", glob=GZIP_GLOB).collect()}
+    assert set(got) == {"199501", "199502"}   # none without a period
+    one, two = got["199501"], got["199502"]
+    assert one.startswith('<entry><link href="https://host/o/1/v1"/><link/><link href="https://host/o/1"/><summary>Order 1 &amp; A &amp; &quot;B&quot;</summary>'
+                          "<title>5-LOW</title><updated>1995-01-31</updated><cac-place-ext:ContractFolderStatus>")
+    assert '<cbc:TotalAmount currencyID="EUR">10.01</cbc:TotalAmount><cbc:TaxExclusiveAmount>8.00</cbc:TaxExclusiveAmount>' in one and ">S&gt;T<" in one
+    lots = [lot.split('schemeName="ID_PARTIDA">')[1].split("<")[0] for lot in one.split("<cac:ProcurementProjectLot>")[1:]]
+    assert lots == ["9", "4", "5"]   # by line number, nulls first
+    assert '<cbc:ItemClassificationCode/><cbc:ItemClassificationCode listURI="https://codes/part">9</cbc:ItemClassificationCode></cac:Required' in one
+    first, second = one.split("<cac:TenderResult>")[1:]
+    assert first.startswith("<cbc:Description>1 lines</cbc:Description><cac:WinningParty><cac:PartyName></cac:PartyName></cac:WinningParty>")
+    assert "<cbc:Description>2 lines</cbc:Description>" in second and "<cbc:ProcurementProjectLotID>2</cbc:ProcurementProjectLotID><cbc:ProcurementProjectLotID/>" in second
+    assert two.startswith('<entry><id>https://host/o/2/</id>') and "<summary>Order 2 &amp; </summary><updated>" in two and "TenderResult" not in two
