@@ -52,6 +52,9 @@ MOST_ODD_SPLITS = 1_000_000
 _BATCH_ENTRIES, _BATCH_BYTES = 2_000, 8 << 20
 # The last contract block, kept as source text (with or without a prefix, CDATA and entities untouched).
 RAW_BLOCK_PATTERN = r"(?s).*(<(?:[\w.-]+:)?ContractFolderStatus[\s>].*?</(?:[\w.-]+:)?ContractFolderStatus\s*>)"
+# Where the name stands twice, in one start tag and one end tag, that block: found by two looks instead of one from every place on the way.
+BLOCK_NAME_PATTERN = r"ContractFolderStatus[\s>]"
+ONE_BLOCK_PATTERN = r"(?s)<(?:[\w.-]++:)?+ContractFolderStatus[\s>].*</(?:[\w.-]++:)?+ContractFolderStatus\s*+>"
 CORRUPT = "_corrupt_record"
 
 # Functions of this module run in Python workers: ship them by value so the workers do not
@@ -93,8 +96,9 @@ def _widen(e: Column, members: set[str], corrupt: bool) -> Column:
 
 def raw_block(text: Column) -> Column:
     """The contract block of an entry as it appears in the source, null when absent."""
-    block = F.regexp_extract(text, RAW_BLOCK_PATTERN, 1)
-    return F.when(block != F.lit(""), block)
+    one = F.regexp_count(text, F.lit(BLOCK_NAME_PATTERN)) == 2
+    # nullif names its value once; a condition on it would have it computed again
+    return F.nullif(F.when(one, F.regexp_extract(text, ONE_BLOCK_PATTERN, 0)).otherwise(F.regexp_extract(text, RAW_BLOCK_PATTERN, 1)), F.lit(""))
 
 
 def below(path: Column, root_path: str) -> Column:

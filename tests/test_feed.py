@@ -167,3 +167,19 @@ def test_columns_not_parsed_are_not_returned(spark):
     texts = cut_documents(spark.createDataFrame([(feed(BLOCK).encode(),)], "content binary"))
     part = to_entries(parse_entries(texts, columns=["contract_id"]), columns=["contract_id"])
     assert part.columns == ["id", "title", "link", "summary", "updated", "contract_id"]
+
+
+def test_raw_block_is_looked_for_once(spark):
+    from pyspark.sql import functions as F
+
+    from tenderlake.sources.xml_feed import RAW_BLOCK_PATTERN, raw_block
+
+    name = "ContractFolderStatus"
+    forms = [f"<entry><p:{name}><c:{name}Code>1</c:{name}Code></p:{name} >x</entry>", f"<entry><a><q.r:{name}\n a='1'>2</{name}></a></entry>", f"<entry><p:{name}/></entry>",
+             f"<entry><p:{name}>1</p:{name}><q:{name}>2</q:{name}></entry>", f"<p:{name}>a</x>", f"</p:{name}><p:{name}>", f"<a:b:{name}>1</a:b:{name}>", f"<p:{name}>&lt;{name}><!-- <{name}> --></p:{name}>",
+             f"<p:{name}>\nline\n<p:{name}>inner</p:{name}>tail</p:{name}>", "<entry/>", f"<p:{name} ></p:{name}\t><p:{name}x></p:{name}x>", None]
+    rows = spark.createDataFrame([(t,) for t in forms], "t string")
+    found = rows.select("t", raw_block(F.col("t")).alias("b"), F.regexp_extract("t", RAW_BLOCK_PATTERN, 1).alias("plain"))
+    for r in found.collect():
+        assert r.b == (r.plain or None), r.t
+    assert found.select("b")._jdf.queryExecution().optimizedPlan().toString().count(r"[\s>].*?") == 1
