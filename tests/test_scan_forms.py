@@ -170,3 +170,38 @@ def test_entries_over_the_borders_of_splits(spark, tmp_root, encoding):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_a_section_ahead_of_the_entries_does_not_slow_the_cut():
+    from tenderlake.sources import entry_cut
+
+    head, entry, tail = b'<?xml version="1.0"?><feed><!-- <entry> -->', b"<p:entry>" + b"<a>b</a>" * 20 + b"</p:entry>", b"<!-- <p:entry> --></feed>"
+    data = head + entry * 50
+    looks = []
+
+    class Counted(entry_cut.EntryCutter):
+        def _token(self, buffer, at, sections):
+            looks.append(bool(sections))
+            return super()._token(buffer, at, sections)
+
+    cutter = Counted()
+    found = [text for part in (data, b"", tail) for _, text in cutter.feed(part)]
+    assert found == [entry] * 50 and sum(looks[:90]) <= 4   # tag by tag up to the head's comment only
+    assert [t for _, t in entry_cut.EntryCutter().feed(data + tail + entry, True)] == [entry] * 51
+
+
+def test_strict_scan_of_some_columns(spark, tmp_root):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tenderlake.operators.entries import to_entries
+    from tenderlake.sources.xml_feed import read_entries_strict
+
+    os.makedirs(f"{tmp_root}/cols/202301")
+    with open(f"{tmp_root}/cols/202301/a.xml", "w") as f:
+        f.write("<feed><entry><id>1</id><p:ContractFolderStatus xmlns:p='p'><p:ContractFolderID>7</p:ContractFolderID><p:ProcurementProjectLot/></p:ContractFolderStatus></entry></feed>")
+    for mode in ("FAILFAST", "PERMISSIVE"):
+        parsed = read_entries_strict(spark, f"{tmp_root}/cols", mode=mode, columns=["project_lots"])
+        e = to_entries(parsed, columns=["project_lots"])
+        assert e.columns[5:] == ["project_lots"] and [(r.id, r.n) for r in e.select("id", F.size("project_lots").alias("n")).collect()] == [("1", 1)]
