@@ -103,7 +103,8 @@ def leaks(
 
 def _found(read: DataFrame, known: DataFrame, masks: tuple[str, ...], span: Column | None, overlap: int, similar: float, block: int) -> list[DataFrame]:
     """The leaks for each block of the items; an item's masks are those of the length ``span``, or all."""
-    size = known.agg(F.sum(F.size("item_w")).alias("n")).first()["n"] or 0
+    # a text that several items share is broadcast once, and by its key it falls into one block
+    size = known.select("item_key", "item_w").distinct().agg(F.sum(F.size("item_w")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size * len(masks) // block))
     found = []
     for k in range(blocks):

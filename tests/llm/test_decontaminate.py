@@ -142,3 +142,13 @@ def test_items_of_too_few_words_drop_nothing(spark):
     items = spark.createDataFrame([(1, "Yes"), (2, "two three four five six"), (3, "it is so")], "item_id int, text string")
     kept = lambda **o: {r.doc_id for r in dc.drop_leaks(spark, docs, items, short=True, **o).collect()}
     assert kept() == {3} and kept(least_words=5) == {1, 3} and kept(least_words=6) == {1, 2, 3}
+
+
+def test_items_of_one_text_make_one_block(spark, monkeypatch):
+    blocks, found = [], dc._found
+    monkeypatch.setattr(dc, "_found", lambda *a: blocks.append(found(*a)) or blocks[-1])
+    text = " ".join(f"w{k}" for k in range(20))
+    items = spark.createDataFrame([(i, text) for i in range(50)], "item_id int, text string")
+    docs = spark.createDataFrame([(1, f"a {text} b"), (2, "w1 w2")], "doc_id int, text string")
+    got = dc.leaks(docs, items, block=20 * len(dc.MASKS))
+    assert {(r.doc_id, r.item_id, r.start_word) for r in got.collect()} == {(1, i, 1) for i in range(50)} and [len(b) for b in blocks] == [1]
